@@ -44,12 +44,7 @@ def _fields(
     """
     for field in schema.fields:
         name, kind = field.name, field.dataType
-        if parent is None:
-            value = F.col(f"`{name}`")
-        elif in_array:
-            value = F.transform(parent, lambda x, name=name: x.getField(name))
-        else:
-            value = parent.getField(name)
+        value = F.col(f"`{name}`") if parent is None else parent.getField(name)
 
         if in_array:
             nulls = F.size(F.filter(value, lambda x: x.isNull()))

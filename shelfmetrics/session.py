@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# A plan-time broadcast goes by file sizes, which are compressed, so its limit is
+# low. A run-time broadcast goes by the measured size of a finished shuffle stage.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "4MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 

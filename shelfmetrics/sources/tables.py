@@ -40,7 +40,7 @@ def read_table(
 def read_files(
     spark: SparkSession, path: str, table: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Parquet files of one table, laid out as ``path/table`` or ``path/table.parquet``."""
+    """The parquet files of one table at ``path``, with its declared schema."""
     return conform(spark.read.parquet(path), schema or SCHEMAS[table])
 
 
