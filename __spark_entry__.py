@@ -43,6 +43,12 @@ PROFILED = {
     "orders": ["o_orderkey", "o_custkey"],
     "lineitem": ["l_orderkey", "l_partkey", "l_linenumber"],
     "events": ["event_id", "ts"],
+    "documents": ["doc_id"],
+    "embeddings": ["vec_id"],
+    "pages": ["page_id"],
+    "benchmark": ["item_id"],
+    "labels": ["doc_id"],
+    "conversations": ["conv_id", "turn"],
 }
 
 

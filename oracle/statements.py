@@ -417,7 +417,7 @@ FROM (SELECT last_day(o_orderdate) AS date, l_partkey AS sku_id,
 LEFT JOIN (SELECT p_partkey AS sku_id, CAST(floor(p_retailprice) AS BIGINT) AS price FROM part)
   USING (sku_id)"""
 
-# Test tables: (column, type), with * on REQUIRED columns.
+# Test tables: column and type, with * on REQUIRED and + on REPEATED columns.
 TABLES = {
     "region": "*r_regionkey INTEGER, r_name STRING",
     "nation": "*n_nationkey INTEGER, n_name STRING, n_regionkey INTEGER",
@@ -433,7 +433,14 @@ TABLES = {
     "l_tax FLOAT, l_returnflag STRING, l_linestatus STRING, l_shipdate DATETIME",
     "events": "*event_id INTEGER, *ts DATETIME, user_id INTEGER, event_type STRING, value FLOAT, "
     "props STRING",
+    "documents": "*doc_id INTEGER, text STRING, lang STRING, source STRING, n_chars INTEGER",
+    "embeddings": "*vec_id INTEGER, +embedding FLOAT, label INTEGER",
+    "pages": "*page_id INTEGER, url STRING, html STRING",
+    "benchmark": "*item_id INTEGER, text STRING",
+    "labels": "*doc_id INTEGER, quality INTEGER, toxic INTEGER",
+    "conversations": "*conv_id INTEGER, *turn INTEGER, role STRING, text STRING",
 }
+MODES = {"*": "REQUIRED", "+": "REPEATED"}
 
 
 def profile_sql() -> str:
@@ -441,13 +448,13 @@ def profile_sql() -> str:
     for table, columns in TABLES.items():
         listed = [c.split() for c in columns.split(", ")]
         for name, kind in listed:
-            column, required = name.lstrip("*"), name.startswith("*")
+            column, mode = name.lstrip("*+"), MODES.get(name[0], "NULLABLE")
             nulls = f"count(*) - count({column})"
             parts.append(
                 f"SELECT '{table}' AS table_name, count(*) AS row_count, "
                 f"CAST({len(listed)} AS BIGINT) AS column_count, '{column}' AS column_name, "
-                f"'{kind}' AS type, '{'REQUIRED' if required else 'NULLABLE'}' AS mode, "
-                f"{nulls} AS null_count, {nulls if required else 'CAST(0 AS BIGINT)'} "
+                f"'{kind}' AS type, '{mode}' AS mode, "
+                f"{nulls} AS null_count, {nulls if mode == 'REQUIRED' else 'CAST(0 AS BIGINT)'} "
                 f"AS required_violations FROM {table}"
             )
     return "\nUNION ALL ".join(parts)

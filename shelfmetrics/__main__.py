@@ -1,6 +1,7 @@
 """Run a report bundle as a Spark job.
 
-    spark-submit ... -m shelfmetrics daily --dataset shop --out /reports/daily
+    spark-submit --py-files shelfmetrics.zip shelfmetrics/__main__.py \\
+        monthly --dataset shop --out /reports/2026-03 --month 2026-03
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ and the order lines are scanned once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmetrics.functions.days import Day, in_days
@@ -74,18 +74,27 @@ def category_price_stats(
     sketches, exact while a group holds fewer products than the sketch accuracy.
     """
     base = product_prices(orders, start, end) if base is None else base
-    return _shelf_stats(
-        base, F.percentile_approx("mean_price", PERCENTILES, 10000).alias("price_quantiles")
-    ).select(*_SHELF, "cat_avg_price", "cat_min_price", "cat_max_price", "price_quantiles", "sku_count")
+    quantiles = F.percentile_approx("mean_price", PERCENTILES, 10000).alias("price_quantiles")
+    # Apart from the distinct count, which would keep one sketch per SKU.
+    sketches = base.groupBy(*_SHELF).agg(quantiles).toDF("of_category", "of_channel", "price_quantiles")
+    same_shelf = F.col("category").eqNullSafe(F.col("of_category")) & F.col("channel").eqNullSafe(
+        F.col("of_channel")
+    )
+    return (
+        _shelf_stats(base)
+        .join(sketches, same_shelf)
+        .select(
+            *_SHELF, "cat_avg_price", "cat_min_price", "cat_max_price", "price_quantiles", "sku_count"
+        )
+    )
 
 
-def _shelf_stats(base: DataFrame, *more: Column) -> DataFrame:
+def _shelf_stats(base: DataFrame) -> DataFrame:
     return base.groupBy(*_SHELF).agg(
         F.avg("mean_price").alias("cat_avg_price"),
         F.min("mean_price").alias("cat_min_price"),
         F.max("mean_price").alias("cat_max_price"),
         F.count_distinct("sku").alias("sku_count"),
-        *more,
     )
 
 

@@ -143,3 +143,16 @@ def test_category_stats(spark):
     assert row.sku_count == 100
     assert len(row.price_quantiles) == 101
     assert (row.price_quantiles[0], row.price_quantiles[50], row.price_quantiles[100]) == (1, 50, 100)
+
+
+def test_category_stats_keep_null_categories_and_count_a_sku_once(spark):
+    df = orders(
+        spark,
+        product("a", 1.0, category=None),
+        product("b", 2.0),
+        {**product("b", 4.0), "product_name": "other name"},
+    )
+    rows = by(ops.category_price_stats(df, AS_OF, AS_OF), "category")
+    assert (rows[None].cat_avg_price, rows[None].sku_count) == (1.0, 1)
+    assert (rows["case"].cat_avg_price, rows["case"].sku_count) == (3.0, 1)
+    assert set(rows["case"].price_quantiles) == {2.0, 4.0}

@@ -77,6 +77,12 @@ def test_csv_export_counts_and_round_trips(spark, tmp_path):
     assert files.write_csv(spark.range(50), f"{tmp_path}/capped", max_rows=7) == 7
 
 
+def test_empty_exports_are_counted_too(spark, tmp_path):
+    nothing = spark.range(9).where("id > 100").groupBy("id").count()
+    assert files.write_csv(nothing.orderBy("id"), f"{tmp_path}/sorted") == 0
+    assert files.write_tab(nothing, f"{tmp_path}/tab", ["a", "b"]) == 0
+
+
 def test_sheet_values_are_plain_text(spark):
     df = spark.createDataFrame(
         [(1, 12500000.0, 43.123456789012, -0.5, None), (2, 1e-9, 1e25, 100.0, "x")],
