@@ -72,6 +72,12 @@ def money(x: str) -> str:
     return f"CAST(sum({x}) AS DOUBLE)"
 
 
+def mean(x: str, places: int = 8) -> str:
+    """Mean over decimals, taken from the printed digits of the double."""
+    digits = f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,{places}))"
+    return f"(CAST(sum({digits}) AS DOUBLE) / count({x}))"
+
+
 def whole(x: str) -> str:
     return f"CAST(sum({x}) AS BIGINT)"
 
@@ -162,7 +168,7 @@ SELECT product_id, product_name, sku, total_qty, total_revenue, order_count, avg
        {percent("(total_revenue - c)", "total_revenue")} AS gpm_pct
 FROM (SELECT product_id, product_name, sku, {whole("quantity")} AS total_qty,
              {money("revenue")} AS total_revenue, count(DISTINCT order_id) AS order_count,
-             {half_away("avg(unit_price)")} AS avg_price, {money("cost")} AS c
+             {half_away(mean("unit_price"))} AS avg_price, {money("cost")} AS c
       FROM order_lines WHERE {MARCH} GROUP BY ALL)
 ORDER BY total_revenue DESC, product_id, product_name, sku LIMIT 20"""
 
@@ -354,17 +360,17 @@ SELECT sku, product_name, category, channel, total_qty, {half_away("r")} AS reve
        {passed(ratio("(r - c)", "r"), ">=", ["0.4::DOUBLE", "0.25::DOUBLE", "0.1::DOUBLE"],
                ["🟢 고수익", "🟡 보통", "🟠 저수익", "🔴 적자위험"])} AS gpm_tier
 FROM (SELECT sku, product_name, category, channel, {whole("quantity")} AS total_qty,
-             {money("revenue")} AS r, {money("cost")} AS c, avg(unit_price) AS p, avg(unit_cost) AS u
+             {money("revenue")} AS r, {money("cost")} AS c, {mean("unit_price")} AS p, {mean("unit_cost")} AS u
       FROM order_lines WHERE {MARCH} GROUP BY ALL)
 WHERE total_qty >= 10"""
 
 PRICES = f"""prices AS (
-  SELECT sku, product_name, category, channel, avg(unit_price) AS p, {whole("quantity")} AS qty,
+  SELECT sku, product_name, category, channel, {mean("unit_price")} AS p, {whole("quantity")} AS qty,
          {money("revenue")} AS r,
-         avg((unit_price - unit_cost) / nullif(unit_price, 0)) * 100 AS margin
+         {mean("((unit_price - unit_cost) / nullif(unit_price, 0))", 12)} * 100 AS margin
   FROM order_lines WHERE {MARCH} GROUP BY ALL),
 shelf AS (
-  SELECT category, channel, avg(p) AS mean, min(p) AS low, max(p) AS high,
+  SELECT category, channel, {mean("p")} AS mean, min(p) AS low, max(p) AS high,
          count(DISTINCT sku) AS skus FROM prices GROUP BY ALL),
 placed AS (SELECT * FROM prices JOIN shelf USING (category, channel))"""
 
@@ -392,7 +398,7 @@ SELECT category, channel,
        {by_mean(["① 저가 (~70%)", "② 중저가 (70~90%)", "③ 중간 (90~110%)",
                  "④ 중고가 (110~130%)", "⑤ 고가 (130%~)"])} AS price_band,
        count(DISTINCT sku) AS sku_count, {whole("qty")} AS band_total_qty,
-       {half_away("avg(p)")} AS band_avg_price, {half_away("avg(margin)", 1)} AS band_avg_margin_pct
+       {half_away(mean("p"))} AS band_avg_price, {half_away(mean("margin"), 1)} AS band_avg_margin_pct
 FROM placed GROUP BY ALL"""
 
 SHELVES = f"""{with_(ORDER_LINES, PRICES)},

@@ -13,11 +13,18 @@ from pyspark.sql import functions as F
 from shelfmetrics.functions.days import Day, in_days
 from shelfmetrics.functions.joins import join_stats
 from shelfmetrics.functions.labels import GPM_TIER, PRICE_BAND, PRICE_TIER, competitiveness, grade
-from shelfmetrics.functions.metrics import money_sum, pct, round_half_away, safe_div
+from shelfmetrics.functions.metrics import (
+    money_sum,
+    pct,
+    round_half_away,
+    safe_div,
+    steady_avg,
+)
 
 _PRODUCT = ["sku", "product_name", "category", "channel"]
 _SHELF = ["category", "channel"]
-PERCENTILES = [i / 100 for i in range(101)]
+# A hair below the hundredths: 0.28 * 25 is just above 7 in doubles, and its rank is 7.
+PERCENTILES = [max(0.0, i / 100 - 1e-12) for i in range(101)]
 
 
 def gpm_analysis(orders: DataFrame, start: Day, end: Day, min_qty: int = 10) -> DataFrame:
@@ -29,8 +36,8 @@ def gpm_analysis(orders: DataFrame, start: Day, end: Day, min_qty: int = 10) ->
             F.sum("quantity").alias("total_qty"),
             money_sum("revenue").alias("sales"),
             money_sum("cost").alias("costs"),
-            F.avg("unit_price").alias("mean_price"),
-            F.avg("unit_cost").alias("mean_cost"),
+            steady_avg("unit_price").alias("mean_price"),
+            steady_avg("unit_cost").alias("mean_cost"),
         )
         .where(F.col("total_qty") >= min_qty)
         .withColumn("profit", F.col("sales") - F.col("costs"))
@@ -57,10 +64,10 @@ def product_prices(orders: DataFrame, start: Day, end: Day) -> DataFrame:
         orders.where(in_days("order_date", start, end))
         .groupBy(*_PRODUCT)
         .agg(
-            F.avg("unit_price").alias("mean_price"),
+            steady_avg("unit_price").alias("mean_price"),
             F.sum("quantity").alias("total_qty"),
             money_sum("revenue").alias("sales"),
-            (F.avg(line_margin) * 100).alias("mean_margin_pct"),
+            (steady_avg(line_margin, 12) * 100).alias("mean_margin_pct"),
         )
     )
 
@@ -91,7 +98,7 @@ def category_price_stats(
 
 def _shelf_stats(base: DataFrame) -> DataFrame:
     return base.groupBy(*_SHELF).agg(
-        F.avg("mean_price").alias("cat_avg_price"),
+        steady_avg("mean_price").alias("cat_avg_price"),
         F.min("mean_price").alias("cat_min_price"),
         F.max("mean_price").alias("cat_max_price"),
         F.count_distinct("sku").alias("sku_count"),
@@ -115,8 +122,8 @@ def price_bands(
         .agg(
             F.count_distinct("sku").alias("sku_count"),
             F.sum("total_qty").alias("band_total_qty"),
-            round_half_away(F.avg("mean_price")).alias("band_avg_price"),
-            round_half_away(F.avg("mean_margin_pct"), 1).alias("band_avg_margin_pct"),
+            round_half_away(steady_avg("mean_price")).alias("band_avg_price"),
+            round_half_away(steady_avg("mean_margin_pct"), 1).alias("band_avg_margin_pct"),
         )
         .orderBy(*_SHELF, "price_band")
     )

@@ -16,6 +16,7 @@ from shelfmetrics.functions.metrics import (
     pct,
     round_half_away,
     safe_div,
+    steady_avg,
 )
 
 _CURRENT, _LAST_YEAR = "cur", "yoy"
@@ -243,7 +244,7 @@ def top_sellers(orders: DataFrame, start: Day, end: Day, n: int) -> DataFrame:
             F.sum("quantity").alias("total_qty"),
             money_sum("revenue").alias("total_revenue"),
             F.count_distinct("order_id").alias("order_count"),
-            round_half_away(F.avg("unit_price")).alias("avg_price"),
+            round_half_away(steady_avg("unit_price")).alias("avg_price"),
             money_sum("cost").alias("total_cost"),
         )
         .withColumn(

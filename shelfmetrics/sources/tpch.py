@@ -36,7 +36,9 @@ def order_lines(
     units = F.col("l_quantity").cast("bigint")
     gross = F.col("l_extendedprice").cast("decimal(18,2)")
     columns = {
-        "order_id": F.col("l_orderkey"),
+        # As text: counting orders must not inherit the join's partitioning by order key,
+        # which would leave all lines of a huge order in one task.
+        "order_id": F.col("l_orderkey").cast("string"),
         "order_date": F.col("o_orderdate"),
         "quantity": units,
         "revenue": gross * (1 - F.col("l_discount").cast("decimal(4,2)")),
@@ -83,10 +85,10 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _event_money(**rate: int):
     """``value`` times the rate of the row's event type, 0 for other types."""
     value = F.col("value").cast("decimal(18,2)")
-    amount = F.when(F.lit(False), value * 0)
+    amount = F.lit(0).cast("decimal(18,2)")
     for kind, factor in rate.items():
-        amount = amount.when(F.col("event_type") == kind, value * factor)
-    return amount.otherwise(F.lit(0).cast("decimal(18,2)"))
+        amount = F.when(F.col("event_type") == kind, value * factor).otherwise(amount)
+    return amount
 
 
 def _event_count(kind: str, each: int):

@@ -32,7 +32,7 @@ def _cell(value):
     if isinstance(value, Decimal):
         value = float(value)
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value + 0.0:.9g}"
+        return "nan" if math.isnan(value) else f"{value + 0.0:.17g}"
     return "NULL" if value is None else str(value)
 
 

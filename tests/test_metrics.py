@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfmetrics.functions.labels import STOCK_STATUS, grade
-from shelfmetrics.functions.metrics import change_pct, pct, round_half_away, safe_div
+from shelfmetrics.functions.metrics import change_pct, pct, round_half_away, safe_div, steady_avg
 
 
 def value(spark, column):
@@ -45,3 +45,17 @@ def test_percentages(spark):
 def test_null_falls_to_the_last_grade(spark):
     assert value(spark, grade(F.lit(None).cast("double"), STOCK_STATUS)) == STOCK_STATUS.otherwise
     assert STOCK_STATUS.labels == ("🔴 긴급", "🟡 주의", "🟢 양호", "⚪ 저회전")
+
+
+def test_steady_mean_ignores_row_order(spark):
+    rows = [0.1, 0.2, 0.3, 1e8, -1e8, 0.7, None] * 30
+    means = {
+        spark.createDataFrame([(x,) for x in order], "x double")
+        .repartition(parts)
+        .agg(steady_avg("x"))
+        .first()[0]
+        for order in (rows, rows[::-1], sorted(rows, key=lambda x: (x is None, x)))
+        for parts in (1, 3, 7)
+    }
+    assert means == {1.3 / 6}
+    assert spark.range(0).agg(steady_avg("id")).first()[0] is None

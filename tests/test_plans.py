@@ -124,3 +124,10 @@ def test_hot_sku_is_split_at_run_time(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_order_count_combines_before_it_shuffles(spark):
+    """A huge order must not stay in one task: its lines are combined, then moved by text id."""
+    text = formatted(registered.queries()["weekly_trend"](spark, SF_DIR))
+    moved = re.findall(r"Exchange\nInput.*\nArguments: hashpartitioning\((.*?)\), ENSURE", text)
+    assert any("order_id" in keys for keys in moved), moved

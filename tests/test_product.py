@@ -156,3 +156,9 @@ def test_category_stats_keep_null_categories_and_count_a_sku_once(spark):
     assert (rows[None].cat_avg_price, rows[None].sku_count) == (1.0, 1)
     assert (rows["case"].cat_avg_price, rows["case"].sku_count) == (3.0, 1)
     assert set(rows["case"].price_quantiles) == {2.0, 4.0}
+
+
+def test_quantile_ranks_of_exact_multiples(spark):
+    df = orders(spark, *[product(f"s{i:02}", float(i)) for i in range(1, 26)])
+    quantiles = only(ops.category_price_stats(df, AS_OF, AS_OF)).price_quantiles
+    assert quantiles == [max(1, (i * 25 + 99) // 100) for i in range(101)]
