@@ -360,7 +360,8 @@ SELECT sku, product_name, category, channel, total_qty, {half_away("r")} AS reve
        {passed(ratio("(r - c)", "r"), ">=", ["0.4::DOUBLE", "0.25::DOUBLE", "0.1::DOUBLE"],
                ["🟢 고수익", "🟡 보통", "🟠 저수익", "🔴 적자위험"])} AS gpm_tier
 FROM (SELECT sku, product_name, category, channel, {whole("quantity")} AS total_qty,
-             {money("revenue")} AS r, {money("cost")} AS c, {mean("unit_price")} AS p, {mean("unit_cost")} AS u
+             {money("revenue")} AS r, {money("cost")} AS c,
+             {mean("unit_price")} AS p, {mean("unit_cost")} AS u
       FROM order_lines WHERE {MARCH} GROUP BY ALL)
 WHERE total_qty >= 10"""
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# A plan-time broadcast goes by file sizes, which are compressed, so its limit is
-# low. A run-time broadcast goes by the measured size of a finished shuffle stage.
-SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+# Reports are about UTC days.
+TIME_ZONE = "UTC"
+
+# Defaults that the submitted configuration may override. A plan-time broadcast goes by
+# file sizes, which are compressed, so its limit is low. A run-time broadcast goes by the
+# measured size of a finished shuffle stage.
+TUNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -18,9 +21,15 @@ SETTINGS = {
 }
 
 
-def get_session(app: str = "shelfmetrics", **more: str) -> SparkSession:
-    """The cluster's session. Calendar days are UTC days; joins split hot partitions."""
+def get_session(app: str = "shelfmetrics", settings: dict[str, str] | None = None) -> SparkSession:
+    """The cluster's session, with the tuning it does not set itself."""
     builder = SparkSession.builder.appName(app)
-    for key, value in {**SETTINGS, **more}.items():
+    for key, value in (settings or {}).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    submitted = spark.sparkContext.getConf()
+    for key, value in TUNING.items():
+        if not submitted.contains(key):
+            spark.conf.set(key, value)
+    spark.conf.set("spark.sql.session.timeZone", TIME_ZONE)
+    return spark

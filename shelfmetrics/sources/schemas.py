@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 STRING, LONG, DOUBLE = T.StringType(), T.LongType(), T.DoubleType()
 BOOLEAN, DATE = T.BooleanType(), T.DateType()
 TIMESTAMP, LOCAL_TIMESTAMP = T.TimestampType(), T.TimestampNTZType()
-NUMERIC, MONEY = T.DecimalType(38, 9), T.DecimalType(24, 4)
+NUMERIC, MONEY = T.DecimalType(38, 9), T.DecimalType(28, 8)
 
 
 def _of(kind: T.DataType, names: str, required: bool = False) -> list[T.StructField]:

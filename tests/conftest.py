@@ -16,7 +16,7 @@ TESTDATA = "/root/testdata"
 def spark(tmp_path_factory):
     session = get_session(
         "tests",
-        **{
+        {
             "spark.master": "local[8]",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",

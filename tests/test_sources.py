@@ -39,16 +39,16 @@ def test_catalog_tables_are_read_in_declared_types(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS shop")
     raw = spark.sql(
         "SELECT 7 AS order_id, DATE '2026-03-20' AS order_date, 'web' AS channel, 'case' AS category,"
-        " 'p' AS product_id, 'n' AS product_name, 's' AS sku, 2 AS quantity, 10.005D AS revenue,"
+        " 'p' AS product_id, 'n' AS product_name, 's' AS sku, 2 AS quantity, 10.00000005D AS revenue,"
         " 4.0D AS cost, 5.0D AS unit_price, 2.0D AS unit_cost, 'ignored' AS extra"
     )
     raw.write.mode("overwrite").saveAsTable("shop.orders")
     df = read_table(spark, "shop", "orders")
     assert df.columns == REPORT_TABLES["orders"].names
     kinds = dict(df.dtypes)
-    assert (kinds["order_id"], kinds["order_date"], kinds["revenue"]) == ("string", "date", "decimal(24,4)")
+    assert (kinds["order_id"], kinds["order_date"], kinds["revenue"]) == ("string", "date", "decimal(28,8)")
     row = only(daily_sales_summary(df, AS_OF))
-    assert (row.total_revenue, row.total_qty) == (10.005, 2)
+    assert (row.total_revenue, row.total_qty) == (10.00000005, 2)
 
 
 def test_parquet_files_and_missing_columns(spark, tmp_path):
@@ -76,3 +76,11 @@ def test_views_without_a_dimension_keep_every_line(spark):
     lean = tpch.order_lines(spark, sf_dir, customers=False, parts=False)
     assert lean.count() == full.count() == tpch.table(spark, sf_dir, "lineitem").count()
     assert not {"channel", "sku"} & set(lean.columns)
+
+
+def test_session_keeps_submitted_tuning(spark):
+    from shelfmetrics.session import TUNING, get_session
+
+    key = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    assert spark.conf.get(key) == TUNING[key]
+    assert get_session().conf.get("spark.sql.session.timeZone") == "UTC"
