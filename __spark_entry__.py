@@ -53,8 +53,8 @@ PROFILED = {
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    """Daily sales summary on the smallest test data."""
-    return queries()["daily_sales_summary"](spark, "/root/testdata/sf0.001")
+    """Month against last year's month, on the smallest test data."""
+    return queries()["monthly_comparison_detail"](spark, "/root/testdata/sf0.001")
 
 
 def _daily_sales_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
