@@ -26,6 +26,13 @@ from shelfmetrics.operators import (  # noqa: E402
 from shelfmetrics.plans import bundles  # noqa: E402
 from shelfmetrics.sources import tpch  # noqa: E402
 
+try:
+    from shelfmetrics.llm import queries as training_data
+except ModuleNotFoundError as missing:
+    if not str(missing.name).startswith("shelfmetrics.llm"):
+        raise
+    training_data = None
+
 DAY = "2001-03-15"
 AS_OF = "2001-07-31"
 MONTH, TARGET = "2001-03", 50_000_000
@@ -229,7 +236,7 @@ def _ad_roas_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    registered = {
         "daily_sales_summary": _daily_sales_summary,
         "weekly_trend": _weekly_trend,
         "monthly_comparison_detail": _monthly_detail,
@@ -262,7 +269,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "monthly_business_report": _monthly_business_report,
         "ad_roas_report": _ad_roas_report,
     }
+    return registered | (training_data.queries() if training_data else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return statements()
+    return statements() | (training_data.oracle_sql() if training_data else {})
