@@ -52,7 +52,12 @@ def ascii_lower(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The runs of [^\\x20\\x09-\\x0D] of a text; null or blank: an empty array."""
-    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(
-        F.split(trimmed, r"[\x20\x09-\x0D]+", -1)
-    )
+    spaced = F.coalesce(text, F.lit(""))
+    for blank in BLANKS[1:]:
+        spaced = F.replace(spaced, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.split(spaced, " ", -1), "")
+
+
+def pipe(value: Column, then) -> Column:
+    """then(value), with value computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))

@@ -15,76 +15,77 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shelfmetrics.llm.common import order_id, words
+from shelfmetrics.llm.common import order_id, pipe, words
 
 SHINGLE = 5
 BINS = 128
 BITS = 8
 
 
-def fingerprint(text: Column, bins: int = BINS, shingle: int = SHINGLE) -> Column:
-    """The packed fingerprint, two hex digits a bin. A text of fewer words than a shingle
-    has one shingle of all its words; null counts as empty, which is a shingle of no words."""
+def bin_values(text: Column, bins: int = BINS) -> Column:
+    """The low bits of each bin's least hash, after densification: array<smallint>.
+
+    A text of fewer words than a shingle has one shingle of all its words; null counts as
+    empty, which is a shingle of no words.
+    """
     bin_bits = bins.bit_length() - 1
     assert bins == 1 << bin_bits, "bins must be a power of two"
 
-    def of_words(ws: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(ws) - (shingle - 1), F.lit(1)))
-        hashes = F.sort_array(
-            F.transform(starts, lambda i: F.xxhash64(F.slice(ws, i, F.lit(shingle))))
-        )
-        return pipe(hashes, of_hashes)
+    def shingles(hs: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(hs) - SHINGLE, F.lit(0)))
+        parts = lambda i: [F.get(hs, i + k) for k in range(SHINGLE)]
+        return F.sort_array(F.transform(starts, lambda i: F.xxhash64(*parts(i))))
 
-    def of_hashes(hashes: Column) -> Column:
-        # sorted by hash, so the first of each bin (the top bits) is the bin's least
-        bin_of = lambda h: F.shiftrightunsigned(h, 64 - bin_bits)
-        first = F.filter(
+    def leasts(hashes: Column) -> Column:
+        # sorted, so a bin's least is where the top bits, the bin's number, change
+        changed = F.filter(
             hashes,
-            lambda h, i: (i == 0) | (bin_of(h) != bin_of(F.get(hashes, i - 1))),
+            lambda h, i: F.shiftrightunsigned(h.bitwiseXOR(F.get(hashes, i - 1)), 64 - bin_bits)
+            != 0,
         )
-        filled = F.transform(
-            first,
-            lambda h: F.struct(bin_of(h).cast("int").alias("b"), h.bitwiseAND(F.lit((1 << BITS) - 1)).alias("v")),
-        )
-        return pipe(filled, of_filled)
+        return F.concat(F.slice(hashes, 1, 1), changed)
+
+    # the sign bit puts the upper half of the bins first; the order of bins is of no matter
+    entry = lambda h: F.struct(
+        F.shiftrightunsigned(h, 64 - bin_bits).cast("int").alias("b"),
+        h.bitwiseAND(F.lit((1 << BITS) - 1)).cast("smallint").alias("v"),
+    )
 
-    def of_filled(filled: Column) -> Column:
-        own = F.map_from_entries(filled)
+    def densified(filled: Column) -> Column:
         lend = lambda b: F.array_min(
             F.transform(filled, lambda d: F.struct(F.xxhash64(b, d["b"]), d["v"].alias("v")))
         )["v"]
-        full = F.size(filled) == bins
-        values = F.when(
-            full, F.transform(F.array_sort(filled), lambda d: d["v"])
-        ).otherwise(
-            pipe(
-                own,
-                lambda m: F.transform(
-                    F.sequence(F.lit(0), F.lit(bins - 1)),
-                    lambda b: F.coalesce(F.try_element_at(m, b), lend(b)),
-                ),
-            )
+        return pipe(
+            F.map_from_entries(filled),
+            lambda own: F.transform(
+                F.sequence(F.lit(0), F.lit(bins - 1)),
+                lambda b: F.coalesce(F.try_element_at(own, b), lend(b)),
+            ),
         )
-        return F.array_join(F.transform(values, lambda v: F.lpad(F.lower(F.hex(v)), 2, "0")), "")
 
-    return pipe(words(text), of_words)
+    def of_hashes(hashes: Column) -> Column:
+        return pipe(F.transform(leasts(hashes), entry), one)
+
+    def one(filled: Column) -> Column:
+        return F.when(
+            F.size(filled) == bins, F.transform(F.array_sort(filled), lambda d: d["v"])
+        ).otherwise(densified(filled))
 
+    hashed = F.transform(words(text), lambda w: F.xxhash64(w))
+    return pipe(pipe(hashed, shingles), of_hashes)
 
-def pipe(value: Column, then) -> Column:
-    """then(value), with value computed once."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
 
+def packed(values: Column) -> Column:
+    """Two hex digits a bin."""
+    digits = F.array(*[F.lit(f"{v:02x}") for v in range(1 << BITS)])
+    return F.array_join(F.transform(values, lambda v: F.get(digits, v.cast("int"))), "")
 
-def likeness(a: Column, b: Column, bins: int = BINS) -> Column:
-    """Estimated Jaccard similarity of two fingerprints, 0 to 1."""
-    same = F.size(
-        F.filter(
-            F.sequence(F.lit(1), F.lit(2 * bins), F.lit(2)),
-            lambda i: F.substring(a, i, F.lit(2)) == F.substring(b, i, F.lit(2)),
-        )
-    )
+
+def likeness(a: Column, b: Column) -> Column:
+    """Estimated Jaccard similarity of two texts by their bin values, 0 to 1."""
+    same = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda equal: equal))
     chance = 2.0**-BITS
-    return F.greatest((same / bins - chance) / (1 - chance), F.lit(0.0))
+    return F.greatest((same / F.size(a) - chance) / (1 - chance), F.lit(0.0))
 
 
 def with_next(docs: DataFrame, values: list[str]) -> DataFrame:
@@ -146,7 +147,7 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         order_id(F.col(id_col)).alias("id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("t"),
     )
-    paired = with_next(base.withColumn("fingerprint", fingerprint(F.col("t"))), ["t", "fingerprint"])
+    paired = with_next(base.withColumn("bins", bin_values(F.col("t"))), ["t", "bins"])
     n = F.char_length("t")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(
@@ -155,13 +156,19 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     out = paired.select(
         "doc_id",
         n.cast("long").alias("n_chars"),
-        "fingerprint",
-        "next_fingerprint",
+        "bins",
+        "next_bins",
         edited.alias("edited_text"),
-    ).withColumn("edited_fingerprint", fingerprint(F.col("edited_text")))
-    return out.withColumn(
-        "near_edited", likeness(F.col("fingerprint"), F.col("edited_fingerprint"))
-    ).withColumn("near_next", likeness(F.col("fingerprint"), F.col("next_fingerprint")))
+    ).withColumn("edited_bins", bin_values(F.col("edited_text")))
+    return out.select(
+        "doc_id",
+        "n_chars",
+        "edited_text",
+        packed(F.col("bins")).alias("fingerprint"),
+        packed(F.col("edited_bins")).alias("edited_fingerprint"),
+        likeness(F.col("bins"), F.col("edited_bins")).alias("near_edited"),
+        likeness(F.col("bins"), F.col("next_bins")).alias("near_next"),
+    )
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmetrics.llm import fingerprints, line_dedup
+from shelfmetrics.llm import decontaminate, fingerprints, line_dedup
 from shelfmetrics.llm.common import table
 
 
@@ -18,9 +18,19 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digest(table(spark, sf_dir, "documents"))
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op7_document_fingerprints)}
+    return {f.__name__: f for f in (
+        op1_line_dedup,
+        op7_document_fingerprints,
+        op10_benchmark_decontamination,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE_SQL}
+    return {"op1_line_dedup": line_dedup.ORACLE_SQL, "op10_benchmark_decontamination": decontaminate.ORACLE_SQL}
