@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmetrics.llm import decontaminate, fingerprints, line_dedup
+from shelfmetrics.llm import decontaminate, fingerprints, language, line_dedup
 from shelfmetrics.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -28,6 +32,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_line_dedup,
         op7_document_fingerprints,
+        op9_language_id,
         op10_benchmark_decontamination,
     )}
 
