@@ -126,8 +126,11 @@ def drop_repeated_lines(
     index = LineRuns(spark, fan_in)
     for k in range(len(cuts) + 1):
         index.add(lines.where(F.col("batch") == k))
+    # read from a table, so that both sides of the join are plain exchanges and adaptive
+    # execution can split the partition of a very frequent line
+    repeated = written(index.repeated(), "line-repeated")
     dropped = (
-        lines.join(index.repeated(), KEY)
+        lines.join(repeated, KEY)
         .where(F.col("id") > F.col("holder"))
         .groupBy("id", "th")
         .agg(F.collect_set("pos").alias("drop"))
