@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmetrics.llm import decontaminate, fingerprints, language, line_dedup
+from shelfmetrics.llm import decontaminate, fingerprints, language, line_dedup, warc
 from shelfmetrics.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digest(table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_line_dedup,
+        op2_warc,
         op7_document_fingerprints,
         op9_language_id,
         op10_benchmark_decontamination,
@@ -38,4 +43,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE_SQL, "op10_benchmark_decontamination": decontaminate.ORACLE_SQL}
+    return {
+        "op1_line_dedup": line_dedup.ORACLE_SQL,
+        "op2_warc": warc.ORACLE_SQL,
+        "op10_benchmark_decontamination": decontaminate.ORACLE_SQL,
+    }
