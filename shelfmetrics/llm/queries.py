@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmetrics.llm import decontaminate, fingerprints, language, line_dedup, warc
+from shelfmetrics.llm import bpe, decontaminate, fingerprints, language, line_dedup, warc
 from shelfmetrics.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digest(table(spark, sf_dir, "documents"))
 
 
+def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.digest(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_line_dedup,
         op2_warc,
         op7_document_fingerprints,
+        op8_byte_level_bpe,
         op9_language_id,
         op10_benchmark_decontamination,
     )}
