@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmetrics.llm import bpe, decontaminate, fingerprints, language, line_dedup, warc
+from shelfmetrics.llm import (
+    bpe,
+    decontaminate,
+    fingerprints,
+    language,
+    line_dedup,
+    substring_dedup,
+    warc,
+)
 from shelfmetrics.llm.common import table
 
 
@@ -18,6 +26,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(table(spark, sf_dir, "pages"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digest(table(spark, sf_dir, "documents"))
 
@@ -40,6 +52,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_line_dedup,
         op2_warc,
+        op4_substring_dedup,
         op7_document_fingerprints,
         op8_byte_level_bpe,
         op9_language_id,
@@ -51,5 +64,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": line_dedup.ORACLE_SQL,
         "op2_warc": warc.ORACLE_SQL,
+        "op4_substring_dedup": substring_dedup.ORACLE_SQL,
         "op10_benchmark_decontamination": decontaminate.ORACLE_SQL,
     }
