@@ -13,6 +13,7 @@ from shelfmetrics.llm import (
     language,
     line_dedup,
     substring_dedup,
+    suffix_dedup,
     warc,
 )
 from shelfmetrics.llm.common import table
@@ -30,6 +31,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digest(table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_line_dedup,
         op2_warc,
         op4_substring_dedup,
+        op5_suffix_array_dedup,
         op7_document_fingerprints,
         op8_byte_level_bpe,
         op9_language_id,
@@ -65,5 +71,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_line_dedup": line_dedup.ORACLE_SQL,
         "op2_warc": warc.ORACLE_SQL,
         "op4_substring_dedup": substring_dedup.ORACLE_SQL,
+        "op5_suffix_array_dedup": suffix_dedup.ORACLE_SQL,
         "op10_benchmark_decontamination": decontaminate.ORACLE_SQL,
     }

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmetrics.llm.common import order_id, written
+from shelfmetrics.llm.common import written
 from shelfmetrics.llm.symbols import U, mix, prefix, slices, stretches
 
 #: The bitmaps have 2^28 bits, 32 MB, whatever the input.
@@ -48,7 +48,8 @@ Symbolise = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 class Phrases:
     """The phrases of one stretch of symbols: arrays text, low (first window's start), count
-    (windows), anchor, content (hash); sums are the stretch's prefix sums."""
+    (windows), anchor, reach (from the first
+    window's start to the anchor); sums are the stretch's prefix sums."""
 
     def __init__(self, sums: np.ndarray, first: np.ndarray, own: int, length: int, gram: int, settled=None):
         """Windows that start before `own`, within texts that begin at first, but for the starts
@@ -80,9 +81,10 @@ class Phrases:
         self.text, self.low = text[begin], starts[begin]
         self.count = np.diff(np.append(begin, len(starts)))
         self.anchor = grams[anchors[begin]]
+        self.reach = anchors[begin] - self.low
 
     def keep(self, chosen: np.ndarray) -> None:
-        for name in ("text", "low", "count", "anchor"):
+        for name in ("text", "low", "count", "anchor", "reach"):
             setattr(self, name, getattr(self, name)[chosen])
 
     def content(self) -> np.ndarray:
@@ -307,22 +309,38 @@ class Repeats:
         return written(self.texts.mapInArrow(make(borders), schema), name)
 
 
-def with_spans(docs: DataFrame, id_col: str, text_col: str, parts: list[DataFrame], carry: list[str] | None) -> DataFrame:
-    """Rows (row, text, spans) of docs; spans are what parts (id, low, high) hold of the row's id,
-    no more than its text has windows."""
-    spans = parts[0]
-    for part in parts[1:]:
-        spans = spans.unionByName(part)
-    spans = spans.groupBy("id").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    row = F.struct(*[F.col(c) for c in (docs.columns if carry is None else carry)])
-    own = docs.select(
-        row.alias("row"), order_id(F.col(id_col)).alias("id"), F.col(text_col).cast("string").alias("text")
-    )
-    return own.join(spans, "id", "left").select("row", "text", "spans")
+class Documents:
+    """The rows of docs as texts (id, text) to search.
 
+    Rows without an id are not searched, nor searched for. Of rows that share an id but differ
+    in text, those with the least hash of the text stand for the document, the others are
+    treated like rows without an id.
+    """
 
-def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(order_id(F.col(id_col)).alias("id"), F.col(text_col).cast("string").alias("text"))
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, carry: list[str] | None):
+        row = F.struct(*[F.col(c) for c in (docs.columns if carry is None else carry)])
+        text = F.col(text_col).cast("string")
+        version = F.xxhash64(F.coalesce(text, F.lit("")))
+        ids = docs.select(F.col(id_col).cast("long").alias("id"), version.alias("version"))
+        several = ids.where("id is not null").groupBy("id").agg(F.min("version").alias("least"), F.max("version").alias("most"))
+        several = written(several.where("least < most").select("id", "least"), "id-versions")
+        own = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("id"), text.alias("text"))
+        if not several.isEmpty():
+            own = own.join(several, "id", "left")
+            stands = F.col("least").isNull() | (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("least"))
+            own = own.select("row", F.when(stands, F.col("id")).alias("id"), "text")
+        self.rows = own
+        self.texts = own.where("id is not null").select("id", "text")
+
+    def with_spans(self, parts: list[DataFrame]) -> DataFrame:
+        """Rows (row, text, spans); spans are what parts (id, low, high) hold of the row's id, no
+        more than its text has windows."""
+        spans = parts[0]
+        for part in parts[1:]:
+            spans = spans.unionByName(part)
+        spans = spans.groupBy("id").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+        none = F.array().cast("array<struct<low:bigint,high:bigint>>")
+        return self.rows.join(spans, "id", "left").select("row", "text", F.coalesce("spans", none).alias("spans"))
 
 
 def span_arrays(column: pa.Array) -> Iterator[np.ndarray]:

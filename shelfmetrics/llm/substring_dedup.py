@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from shelfmetrics.llm import symbols
 from shelfmetrics.llm.common import written
-from shelfmetrics.llm.repeats import Repeats, covered, span_arrays, texts_of, with_spans
+from shelfmetrics.llm.repeats import Documents, Repeats, covered, span_arrays
 from shelfmetrics.llm.symbols import BLANK, U, mix
 
 WINDOW = 20
@@ -113,18 +113,17 @@ def remove_repeats(
 
     Returns per row of docs: `row` (the columns in carry; all by default), n_words, n_removed
     and kept (words joined by single spaces; with digests the SHA-256 of that). Null or blank
-    texts have no words. Rows without an id come last and count as one document, as do rows of
-    equal ids: of equal windows there only the least start stays. Empty tables give no rows.
+    texts have no words. Rows without an id keep all their words and take none from others; so
+    do rows of an id whose text differs from the one that stands for it (see Documents).
+    Repeated rows all get the same result. Empty tables give no rows.
     """
-    parts = duplicate_spans(texts_of(docs, id_col, text_col), window)
-    own = with_spans(docs, id_col, text_col, parts, carry)
+    documents = Documents(docs, id_col, text_col, carry)
+    own = documents.with_spans(duplicate_spans(documents.texts, window))
+    count = F.lit(0).cast("long")
     schema = own.select(
-        "row", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.lit("").alias("kept")
+        "row", count.alias("n_words"), count.alias("n_removed"), F.lit("").alias("kept")
     ).schema
-    filled = own.withColumn(
-        "spans", F.coalesce("spans", F.array().cast("array<struct<low:bigint,high:bigint>>"))
-    )
-    return filled.mapInArrow(_cut(digests), schema)
+    return own.mapInArrow(_cut(digests), schema)
 
 
 def digest(docs: DataFrame) -> DataFrame:
