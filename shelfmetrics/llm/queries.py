@@ -12,6 +12,7 @@ from shelfmetrics.llm import (
     fingerprints,
     language,
     line_dedup,
+    ngram_join,
     substring_dedup,
     suffix_dedup,
     warc,
@@ -35,6 +36,10 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digest(table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_warc,
         op4_substring_dedup,
         op5_suffix_array_dedup,
+        op6_ngram_jaccard_join,
         op7_document_fingerprints,
         op8_byte_level_bpe,
         op9_language_id,
@@ -72,5 +78,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_warc": warc.ORACLE_SQL,
         "op4_substring_dedup": substring_dedup.ORACLE_SQL,
         "op5_suffix_array_dedup": suffix_dedup.ORACLE_SQL,
+        "op6_ngram_jaccard_join": ngram_join.ORACLE_SQL,
         "op10_benchmark_decontamination": decontaminate.ORACLE_SQL,
     }
