@@ -196,6 +196,7 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, name:
     wanted = bitmap(pairs.select("a").unionAll(pairs.select("b")), _ids, 1)
     own = texts.mapInArrow(_chosen(wanted), "id long, text string").dropDuplicates(["id"])
     own = written(own, "candidate-texts")
+    wanted.release()
     both = pairs.join(own.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(own.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     return written(both.select("a", "b", "text_a", "text_b").mapInArrow(_similar(size, percent), "a long, b long"), name)
@@ -243,6 +244,8 @@ def link_edges(texts: DataFrame, classes: DataFrame, size: int, percent: int) ->
     common = bitmap(texts, _rep_shingles(size, reps), 2)
     rows = texts.mapInArrow(_signature_rows(size, percent, reps, common), "sig long, id long, n long, m long")
     rows = written(rows.dropDuplicates(["sig", "id"]), "signatures")
+    reps.release()
+    common.release()
     central = F.struct((F.col("m") / F.col("n")).alias("part"), (-F.col("id")).alias("minus"), "id", "n", "m")
     buckets = rows.groupBy("sig").agg(F.max(central).alias("hub"), F.min("id").alias("low"), F.max("id").alias("high"))
     buckets = written(buckets.where("low < high").select("sig", "hub"), "buckets")

@@ -24,6 +24,7 @@ later passes meet the phrases of earlier ones again.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -205,7 +206,27 @@ def _joined_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def bitmap(rows: DataFrame, hashes, least: int):
+class Bits:
+    """A broadcast bitmap, packed on its way and on disk, and unpacked once in each worker."""
+
+    def __init__(self, spark, bits: np.ndarray):
+        self.packed, self.bits = spark.sparkContext.broadcast(zlib.compress(bits.tobytes(), 1)), None
+
+    def __getstate__(self) -> dict:
+        return {"packed": self.packed, "bits": None}
+
+    @property
+    def value(self) -> np.ndarray:
+        if self.bits is None:
+            self.bits = np.frombuffer(zlib.decompress(self.packed.value), np.uint8)
+        return self.bits
+
+    def release(self) -> None:
+        """Free the executors' copies; a task that runs again fetches it again."""
+        self.packed.unpersist()
+
+
+def bitmap(rows: DataFrame, hashes, least: int) -> Bits:
     """Broadcast bitmap of the slots of hashes(batch) of rows met at least `least` (1 or 2) times.
     Of each shard a row of fixed size reaches the driver, 2^SLOT_BITS bits in all."""
     spark = rows.sparkSession
@@ -215,7 +236,7 @@ def bitmap(rows: DataFrame, hashes, least: int):
     out = np.zeros((1 << (SLOT_BITS - SHARD_BITS), 1 << (SHARD_BITS - 3)), dtype=np.uint8)
     for shard, bits in zip(*(c.to_pylist() for c in joined.toArrow().columns), strict=True):
         out[shard] = np.frombuffer(bits, np.uint8)
-    return spark.sparkContext.broadcast(out.ravel())
+    return Bits(spark, out.ravel())
 
 
 def _anchor_hashes(*args):
@@ -263,6 +284,7 @@ class Repeats:
         self.texts, self.symbolise, self.later = texts, symbolise, later
         self.spans: list[DataFrame] = []
         levels: list[Level] = []
+        self.bits: list[Bits] = []
         for k, (length, gram) in enumerate(lengths):
             args = (symbolise, list(levels), length, gram)
             anchors = bitmap(texts, _anchor_hashes(*args), 2)
@@ -288,10 +310,12 @@ class Repeats:
             if not last:
                 places = bitmap(open_rows.select("id", "low"), _place_hashes, 1)
                 levels.append(Level(length, gram, anchors, places))
+                self.bits += [anchors, places]
             else:
                 border = open_rows.join(self.several, "anchor")
                 self.args, self.anchors = args, anchors
                 self.places = bitmap(border.select("id", "low"), _place_hashes, 1)
+                self.bits += [anchors, self.places]
 
     def last_pass(self, make, schema: str, name: str) -> DataFrame:
         """Rows of make(borders) over the texts, written; borders(batch) gives phrases() of the
@@ -306,7 +330,10 @@ class Repeats:
                 if len(found.low):
                     yield found, ids, offset, source
 
-        return written(self.texts.mapInArrow(make(borders), schema), name)
+        out = written(self.texts.mapInArrow(make(borders), schema), name)
+        for bits in self.bits:
+            bits.release()
+        return out
 
 
 class Documents:
