@@ -11,6 +11,7 @@ from shelfmetrics.llm import (
     decontaminate,
     fingerprints,
     language,
+    licences,
     line_dedup,
     ngram_join,
     substring_dedup,
@@ -28,6 +29,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(table(spark, sf_dir, "pages"))
 
 
+def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_line_dedup,
         op2_warc,
+        op3_license_scans,
         op4_substring_dedup,
         op5_suffix_array_dedup,
         op6_ngram_jaccard_join,
