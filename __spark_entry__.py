@@ -26,10 +26,12 @@ from shelfmetrics.operators import (  # noqa: E402
 from shelfmetrics.plans import bundles  # noqa: E402
 from shelfmetrics.sources import tpch  # noqa: E402
 
+# the training-data operators and their pipeline may be left out as a whole
 try:
+    import corpus_pipeline
     from shelfmetrics.llm import queries as training_data
 except ModuleNotFoundError as missing:
-    if not str(missing.name).startswith("shelfmetrics.llm"):
+    if missing.name != "corpus_pipeline" and not str(missing.name).startswith("shelfmetrics.llm"):
         raise
     training_data = None
 
@@ -269,7 +271,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "monthly_business_report": _monthly_business_report,
         "ad_roas_report": _ad_roas_report,
     }
-    return registered | (training_data.queries() if training_data else {})
+    if training_data:
+        registered |= training_data.queries() | {"pipeline": corpus_pipeline.run}
+    return registered
 
 
 def oracle_sql() -> dict[str, str]:
