@@ -237,8 +237,8 @@ def _ad_roas_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundles.tab_row_counts(report)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = {
+def report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {
         "daily_sales_summary": _daily_sales_summary,
         "weekly_trend": _weekly_trend,
         "monthly_comparison_detail": _monthly_detail,
@@ -271,9 +271,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "monthly_business_report": _monthly_business_report,
         "ad_roas_report": _ad_roas_report,
     }
-    if training_data:
-        registered |= training_data.queries() | {"pipeline": corpus_pipeline.run}
-    return registered
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if training_data is None:
+        return report_queries()
+    return report_queries() | training_data.queries() | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
