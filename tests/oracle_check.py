@@ -15,7 +15,7 @@ TABLES = (
 _KINDS = {
     "bigint": "int", "int": "int", "integer": "int", "tinyint": "int", "smallint": "int",
     "double": "double", "float": "double", "string": "text", "varchar": "text",
-    "date": "date", "timestamp": "timestamp", "timestamp_ntz": "timestamp",
+    "boolean": "boolean", "date": "date", "timestamp": "timestamp", "timestamp_ntz": "timestamp",
 }
 
 
