@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -34,7 +35,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of df as a table in the shared folder: cuts lineage and outlives executors."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that written() made, once nothing reads them any more, and let go of the
+    shuffle files of what has been computed: Spark removes these when the driver's garbage is
+    collected."""
+    spark = tables[0].sparkSession
+    jvm = spark.sparkContext._jvm
+    for df in tables:
+        path = jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

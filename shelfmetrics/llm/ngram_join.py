@@ -28,8 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmetrics.llm import symbols
-from shelfmetrics.llm.common import written
-from shelfmetrics.llm.repeats import Documents, bitmap, in_bitmap, place
+from shelfmetrics.llm.common import discard, written
+from shelfmetrics.llm.repeats import Documents, bitmap, chosen, id_hashes, in_bitmap, place
 from shelfmetrics.llm.symbols import BLANK, LOWER, U, mix
 
 SHINGLE = 4
@@ -155,24 +155,6 @@ def _signature_rows(size: int, percent: int, reps, common):
     return run
 
 
-def _chosen(bits):
-    """The rows whose id is in a bitmap of places."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("id").to_numpy()
-            own = in_bitmap(bits.value, place(ids, np.zeros(len(ids), np.int64)))
-            if own.any():
-                yield batch.filter(pa.array(own))
-
-    return run
-
-
-def _ids(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    ids = batch.column(0).to_numpy()
-    yield place(ids, np.zeros(len(ids), np.int64))
-
-
 def _similar(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,13 +175,16 @@ def _similar(size: int, percent: int):
 
 def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, name: str) -> DataFrame:
     """The pairs (a, b) whose sets are similar, each compared in full."""
-    wanted = bitmap(pairs.select("a").unionAll(pairs.select("b")), _ids, 1)
-    own = texts.mapInArrow(_chosen(wanted), "id long, text string").dropDuplicates(["id"])
+    wanted = bitmap(pairs.select("a").unionAll(pairs.select("b")), id_hashes, 1)
+    own = texts.mapInArrow(chosen(wanted, True), "id long, text string").dropDuplicates(["id"])
     own = written(own, "candidate-texts")
     wanted.release()
     both = pairs.join(own.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(own.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    return written(both.select("a", "b", "text_a", "text_b").mapInArrow(_similar(size, percent), "a long, b long"), name)
+    both = both.select("a", "b", "text_a", "text_b")
+    out = written(both.mapInArrow(_similar(size, percent), "a long, b long"), name)
+    discard(own)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -240,7 +225,7 @@ def _could(a: str, b: str, percent: int) -> Column:
 
 def link_edges(texts: DataFrame, classes: DataFrame, size: int, percent: int) -> list[DataFrame]:
     """Tables of edges (a, b) between similar classes, enough to connect every component."""
-    reps = bitmap(classes.where("n > 0").select("id"), _ids, 1)
+    reps = bitmap(classes.where("n > 0").select("id"), id_hashes, 1)
     common = bitmap(texts, _rep_shingles(size, reps), 2)
     rows = texts.mapInArrow(_signature_rows(size, percent, reps, common), "sig long, id long, n long, m long")
     rows = written(rows.dropDuplicates(["sig", "id"]), "signatures")
@@ -273,6 +258,7 @@ def link_edges(texts: DataFrame, classes: DataFrame, size: int, percent: int) ->
     )
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "left-pairs")
+    discard(rows, own, open_rows)
     if not pairs.isEmpty():
         edges.append(verified(pairs, texts, size, percent, "left-links"))
     return edges

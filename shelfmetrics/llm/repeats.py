@@ -32,15 +32,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmetrics.llm.common import written
+from shelfmetrics.llm.common import discard, written
 from shelfmetrics.llm.symbols import U, mix, prefix, slices, stretches
 
 #: The bitmaps have 2^28 bits, 32 MB, whatever the input.
 SLOT_BITS = 28
 #: Slots of one row while a bitmap is put together.
 SHARD_BITS = 16
-FLUSH = 4 << 20
-STEP = 1 << 19
+FLUSH = 2 << 20
+STEP = 1 << 18
 PLACE_BITS = 24
 
 #: (bytes, offsets) of texts to (symbols, where each text's symbols begin).
@@ -305,6 +305,7 @@ class Repeats:
                 "anchor", "id", "low", (F.col("low") + F.col("count") - 1 + length).alias("high"), repeat.alias("repeat")
             )
             marked = written(marked, "marked")
+            discard(known, found, *([firsts] if last else []))
             self.spans.append(marked.where("repeat").select("id", "low", "high"))
             open_rows = marked.where("not repeat")
             if not last:
@@ -361,13 +362,42 @@ class Documents:
 
     def with_spans(self, parts: list[DataFrame]) -> DataFrame:
         """Rows (row, text, spans); spans are what parts (id, low, high) hold of the row's id, no
-        more than its text has windows."""
+        more than its text has windows. Only texts that have spans are exchanged."""
         spans = parts[0]
         for part in parts[1:]:
             spans = spans.unionByName(part)
         spans = spans.groupBy("id").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+        spans = written(spans, "spans")
+        some = bitmap(spans.select("id"), id_hashes, 1)
+        schema = self.rows.schema
+        touched = self.rows.mapInArrow(chosen(some, True), schema).join(spans, "id", "left")
+        rest = self.rows.mapInArrow(chosen(some, False), schema).withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
         none = F.array().cast("array<struct<low:bigint,high:bigint>>")
-        return self.rows.join(spans, "id", "left").select("row", "text", F.coalesce("spans", none).alias("spans"))
+        both = touched.select("row", "text", "spans").unionAll(rest.select("row", "text", "spans"))
+        return both.withColumn("spans", F.coalesce("spans", none))
+
+
+def id_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    ids = batch.column(0).to_numpy()
+    yield place(ids, np.zeros(len(ids), np.int64))
+
+
+def chosen(bits: Bits, inside: bool):
+    """The rows whose id is in a bitmap of ids, or those whose is not; without an id: not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("id")
+            ids = column.fill_null(0).to_numpy()
+            own = in_bitmap(bits.value, place(ids, np.zeros(len(ids), np.int64)))
+            own &= column.is_valid().to_numpy(zero_copy_only=False)
+            own = own == inside
+            if own.all():
+                yield batch
+            elif own.any():
+                yield batch.filter(pa.array(own))
+
+    return run
 
 
 def span_arrays(column: pa.Array) -> Iterator[np.ndarray]:

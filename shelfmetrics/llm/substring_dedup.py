@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmetrics.llm import symbols
-from shelfmetrics.llm.common import written
+from shelfmetrics.llm.common import discard, written
 from shelfmetrics.llm.repeats import Documents, Repeats, covered, span_arrays
 from shelfmetrics.llm.symbols import BLANK, U, mix
 
@@ -74,7 +74,9 @@ def duplicate_spans(texts: DataFrame, window: int = WINDOW) -> list[DataFrame]:
     )
     firsts = written(firsts.where("n > 1").select("h1", "h2", "first"), "first-windows")
     found = checks.join(firsts, ["h1", "h2"]).where(later(F.col("id"), F.col("low"), F.col("first")))
-    return [*parse.spans, found.select("id", "low", (F.col("low") + window).alias("high"))]
+    found = written(found.select("id", "low", (F.col("low") + window).alias("high")), "repeated-windows")
+    discard(checks, firsts)
+    return [*parse.spans, found]
 
 
 def _cut(digests: bool):
