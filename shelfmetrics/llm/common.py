@@ -31,10 +31,10 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     """The rows of df as a table in the shared folder: cuts lineage and outlives executors."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*(by or [])).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out

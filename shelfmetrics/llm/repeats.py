@@ -5,14 +5,12 @@ equals). It depends on the window's content alone, so equal windows have equal a
 the same distance. Consecutive windows mostly share their anchor; such a run, and the
 stretch of text it covers, is a phrase. Every window lies in exactly one phrase.
 
-The work is done at a coarse length first and then at L. At each length:
-
 1. Anchors are counted. Those that occur once belong to windows that occur once.
 2. Phrases of the repeated anchors are written. Equal phrases are equal windows throughout,
-   so a phrase with an earlier equal is settled as a whole. What is settled at the coarse
-   length is left out of the fine one, and what it was settled by is then mostly unique.
-3. At L, what is left are the borders of repeated passages: phrases without an earlier equal
-   whose anchor occurs in other phrases, too. Their windows are looked at one by one.
+   so a phrase with an earlier equal is settled as a whole. This goes band by band of the
+   anchors' hashes, so that one band's scratch data can go before the next one's come.
+3. What is left are the borders of repeated passages: phrases without an earlier equal whose
+   anchor occurs in other phrases, too. Their windows are looked at one by one.
 
 Between passes the anchors (or places) to keep are sent as a bitmap of fixed size. It may
 let more through than asked for, never less; what comes through in excess finds no partner.
@@ -41,6 +39,7 @@ SLOT_BITS = 28
 SHARD_BITS = 16
 FLUSH = 2 << 20
 STEP = 1 << 18
+BANDS = 4
 PLACE_BITS = 24
 
 #: (bytes, offsets) of texts to (symbols, where each text's symbols begin).
@@ -52,9 +51,8 @@ class Phrases:
     (windows), anchor, reach (from the first
     window's start to the anchor); sums are the stretch's prefix sums."""
 
-    def __init__(self, sums: np.ndarray, first: np.ndarray, own: int, length: int, gram: int, settled=None):
-        """Windows that start before `own`, within texts that begin at first, but for the starts
-        that are settled."""
+    def __init__(self, sums: np.ndarray, first: np.ndarray, own: int, length: int, gram: int):
+        """Windows that start before `own`, within texts that begin at first."""
         n = len(sums) - 1
         at = np.arange(n - gram + 1)
         grams = stretches(sums, at, at + gram)
@@ -70,13 +68,10 @@ class Phrases:
         starts = np.arange(len(anchor_at))[:own]
         text = np.searchsorted(first, starts, "right") - 1
         valid = starts + length <= first[text + 1]
-        if settled is not None:
-            valid &= ~settled[: len(starts)]
         starts, text = starts[valid], text[valid]
         anchors = anchor_at[starts]
         new = np.ones(len(starts), bool)
-        new[1:] = (anchors[1:] != anchors[:-1]) | (starts[1:] != starts[:-1] + 1)
-        new[1:] |= text[1:] != text[:-1]
+        new[1:] = (anchors[1:] != anchors[:-1]) | (text[1:] != text[:-1])
         begin = np.flatnonzero(new)
         self.sums, self.length = sums, length
         self.text, self.low = text[begin], starts[begin]
@@ -98,43 +93,25 @@ class Phrases:
         return phrase, self.low[phrase] + within
 
 
-class Level:
-    """A length whose phrases are settled: bitmaps of its repeated anchors, and of the places of
-    those of their phrases that have no earlier equal."""
-
-    def __init__(self, length: int, gram: int, anchors, unsettled):
-        self.length, self.gram, self.anchors, self.unsettled = length, gram, anchors, unsettled
-
-
-def phrases(batch: pa.RecordBatch, symbolise: Symbolise, levels: list[Level], length: int, gram: int) -> Iterator[tuple]:
-    """(Phrases, ids, offset, raw) of a batch (id, text), stretch by stretch: ids by text; the
-    place of a symbol within its text is its place plus offset[text]. Long texts are cut at
-    multiples of STEP of their own symbols, with enough overlap that no window is lost."""
-    longest = max([length, *(x.length for x in levels)])
+def phrases(batch: pa.RecordBatch, symbolise: Symbolise, length: int, gram: int) -> Iterator[tuple]:
+    """(Phrases, ids, offset, (bytes, symbols, low)) of a batch (id, text), stretch by stretch:
+    ids by text; the place of a symbol within its text is its place plus offset[text]; low is the
+    stretch's place in the symbols. Long texts are cut at multiples of STEP of their own symbols,
+    with enough overlap that no window is lost."""
     for part, raw, offsets in slices(batch, "text"):
         symbols, first = symbolise(raw, offsets)
         ids = part.column("id").to_numpy()
         k, texts = 0, part.num_rows
         while k < texts:
             to = max(k + 1, int(np.searchsorted(first, first[k] + STEP, "right")) - 1)
-            for low in range(first[k], max(first[to] - length + 1, first[k] + 1), STEP) if to == k + 1 else [first[k]]:
-                high = min(first[to], low + STEP + longest - 1) if to == k + 1 else first[to]
+            alone = to == k + 1
+            for low in range(first[k], max(first[to] - length, first[k]) + 1, STEP if alone else len(symbols) + 1):
+                high = min(first[to], low + STEP + length - 1) if alone else first[to]
                 if high - low < length:
                     continue
                 edges = np.clip(first[k : to + 1] - low, 0, high - low)
-                sums, own = prefix(symbols[low:high]), STEP if to == k + 1 else high - low
-                settled = None
-                for level in levels:
-                    if high - low < level.length:
-                        continue
-                    coarse = Phrases(sums, edges, own, level.length, level.gram)
-                    coarse.keep(in_bitmap(level.anchors.value, coarse.anchor))
-                    at = place(ids[k:to][coarse.text], coarse.low + (low - first[k:to])[coarse.text])
-                    coarse.keep(~in_bitmap(level.unsettled.value, at))
-                    spans = np.stack([coarse.low, coarse.low + coarse.count + level.length - length], axis=1)
-                    more = covered(spans, high - low)
-                    settled = more if settled is None else settled | more
-                found = Phrases(sums, edges, own, length, gram, settled)
+                own = STEP if alone else high - low
+                found = Phrases(prefix(symbols[low:high]), edges, own, length, gram)
                 if len(found.low):
                     yield found, ids[k:to], low - first[k:to], (raw, symbols, low)
             k = to
@@ -269,54 +246,52 @@ def _phrases(args, anchors):
 class Repeats:
     """All passes but the last over texts (id, text), id never null.
 
-    lengths: (length, gram) from coarse to fine, the last of them the windows' own. later: the
-    condition on id, low and first (struct of id and low of the earliest equal) that makes a
-    phrase or window a repeat.
+    later: the condition on id, low and first (struct of id and low of the earliest equal) that
+    makes a phrase or window a repeat. spans: tables (id, low, high) of what is settled;
+    several: tables of anchors of more than one content, with their number.
     """
 
     def __init__(
         self,
         texts: DataFrame,
         symbolise: Symbolise,
-        lengths: list[tuple[int, int]],
+        length: int,
+        gram: int,
         later: Callable[[Column, Column, Column], Column],
     ):
-        self.texts, self.symbolise, self.later = texts, symbolise, later
+        self.texts, self.args = texts, (symbolise, length, gram)
         self.spans: list[DataFrame] = []
-        levels: list[Level] = []
-        self.bits: list[Bits] = []
-        for k, (length, gram) in enumerate(lengths):
-            args = (symbolise, list(levels), length, gram)
-            anchors = bitmap(texts, _anchor_hashes(*args), 2)
-            schema = "anchor long, content long, id long, low long, count long"
-            found = written(texts.mapInArrow(_phrases(args, anchors), schema), "phrases")
-            firsts = found.groupBy("anchor", "content").agg(
+        self.several: list[DataFrame] = []
+        borders: list[DataFrame] = []
+        self.anchors = bitmap(texts, _anchor_hashes(*self.args), 2)
+        schema = "anchor long, content long, id long, low long, count long"
+        found = texts.mapInArrow(_phrases(self.args, self.anchors), schema)
+        found = written(found.withColumn("band", F.pmod("anchor", F.lit(BANDS)).cast("int")), "phrases", ["band"])
+        for band in range(BANDS):
+            rows = found.where(F.col("band") == band).drop("band")
+            firsts = rows.groupBy("anchor", "content").agg(
                 F.min(F.struct("id", "low")).alias("first"), F.count(F.lit(1)).alias("copies")
             )
-            last = k + 1 == len(lengths)
-            if last:
-                firsts = written(firsts, "first-phrases")
-                several = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents"))
-                self.several = written(several.where("contents > 1"), "several")
+            firsts = written(firsts, "first-phrases")
+            several = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents"))
+            several = written(several.where("contents > 1"), "several")
             # tables on both sides of the join, so that adaptive execution can split hot phrases
             known = written(firsts.where("copies > 1").select("anchor", "content", "first"), "known")
             repeat = F.coalesce(later(F.col("id"), F.col("low"), F.col("first")), F.lit(False))
-            marked = found.join(known, ["anchor", "content"], "left").select(
-                "anchor", "id", "low", (F.col("low") + F.col("count") - 1 + length).alias("high"), repeat.alias("repeat")
+            high = F.col("low") + F.col("count") - 1 + length
+            marked = rows.join(known, ["anchor", "content"], "left").select(
+                "anchor", "id", "low", high.alias("high"), repeat.alias("repeat")
             )
             marked = written(marked, "marked")
-            discard(known, found, *([firsts] if last else []))
-            self.spans.append(marked.where("repeat").select("id", "low", "high"))
-            open_rows = marked.where("not repeat")
-            if not last:
-                places = bitmap(open_rows.select("id", "low"), _place_hashes, 1)
-                levels.append(Level(length, gram, anchors, places))
-                self.bits += [anchors, places]
-            else:
-                border = open_rows.join(self.several, "anchor")
-                self.args, self.anchors = args, anchors
-                self.places = bitmap(border.select("id", "low"), _place_hashes, 1)
-                self.bits += [anchors, self.places]
+            discard(firsts, known)
+            self.spans.append(written(marked.where("repeat").select("id", "low", "high"), "repeated"))
+            border = marked.where("not repeat").join(several.select("anchor"), "anchor")
+            borders.append(written(border.select("id", "low"), "border"))
+            self.several.append(several)
+            discard(marked)
+        discard(found)
+        self.places = bitmap(together(borders), _place_hashes, 1)
+        discard(*borders)
 
     def last_pass(self, make, schema: str, name: str) -> DataFrame:
         """Rows of make(borders) over the texts, written; borders(batch) gives phrases() of the
@@ -332,11 +307,18 @@ class Repeats:
                     yield found, ids, offset, source
 
         out = written(self.texts.mapInArrow(make(borders), schema), name)
-        for bits in self.bits:
-            bits.release()
+        anchors.release()
+        places.release()
         return out
 
 
+def together(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for more in tables[1:]:
+        out = out.unionAll(more)
+    return out
+
+
 class Documents:
     """The rows of docs as texts (id, text) to search.
 
@@ -363,11 +345,9 @@ class Documents:
     def with_spans(self, parts: list[DataFrame]) -> DataFrame:
         """Rows (row, text, spans); spans are what parts (id, low, high) hold of the row's id, no
         more than its text has windows. Only texts that have spans are exchanged."""
-        spans = parts[0]
-        for part in parts[1:]:
-            spans = spans.unionByName(part)
-        spans = spans.groupBy("id").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+        spans = together(parts).groupBy("id").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
         spans = written(spans, "spans")
+        discard(*parts)
         some = bitmap(spans.select("id"), id_hashes, 1)
         schema = self.rows.schema
         touched = self.rows.mapInArrow(chosen(some, True), schema).join(spans, "id", "left")

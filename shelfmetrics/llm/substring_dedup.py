@@ -2,9 +2,8 @@
 
 The reference is all text that starts earlier. Its index holds phrases cut by content
 (see repeats), in blocks dealt by hash, and knows each phrase's earliest place. A document
-is factored greedily: long phrases first, then, in what they leave, shorter ones; a phrase
-found in the index at an earlier place is a factor. A window that straddles the end of a
-factor is in no factor, so the windows at factor boundaries, and only they, are looked up
+is factored greedily: phrase by phrase, a run of phrases found in the index at earlier places
+is a factor, as long as it goes. A window that straddles the end of a factor is in no factor, so the windows at factor boundaries, and only they, are looked up
 one by one. All words in factors or in windows found are duplicate spans.
 
 Comparing every document with every block's text would be quadratic; the index lookups are
@@ -27,7 +26,6 @@ from shelfmetrics.llm.repeats import Documents, Repeats, covered, span_arrays
 from shelfmetrics.llm.symbols import BLANK, U, mix
 
 WINDOW = 20
-LONG_FACTOR = 120
 GRAM = 6
 
 
@@ -64,10 +62,7 @@ def _boundary_windows(window: int):
 
 def duplicate_spans(texts: DataFrame, window: int = WINDOW) -> list[DataFrame]:
     """(id, low, high) of words in factors and in windows found at factor boundaries."""
-    coarse = max(LONG_FACTOR, 4 * window)
-    parse = Repeats(
-        texts, word_symbols, [(coarse, min(GRAM, window)), (window, min(GRAM, window))], later
-    )
+    parse = Repeats(texts, word_symbols, window, min(GRAM, window), later)
     checks = parse.last_pass(_boundary_windows(window), "h1 long, h2 long, id long, low long", "boundary-windows")
     firsts = checks.groupBy("h1", "h2").agg(
         F.min(F.struct("id", "low")).alias("first"), F.count(F.lit(1)).alias("n")

@@ -74,7 +74,6 @@ def test_words(edges, monkeypatch, window):
 def test_bytes(edges, monkeypatch, length, most):
     monkeypatch.setattr(repeats, "STEP", 700)
     monkeypatch.setattr(suffix_dedup, "MOST_OF_ANCHOR", most)  # 0: string by string
-    monkeypatch.setattr(suffix_dedup, "COARSE", 90)
     docs, df = edges
     rows = suffix_dedup.remove_repeats(df, length=length).collect()
     got = by_id(rows, "n_bytes", "n_removed", "n_spans", "kept")
