@@ -6,7 +6,6 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -168,12 +167,11 @@ def _gpm_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _price_query(operator) -> Callable[[SparkSession, str], DataFrame]:
-    """A price report on the shared product base, which is cached for the others too."""
+    """A price report on its own product base; nothing stays cached for later queries."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines = tpch.order_lines(spark, sf_dir)
         base = product.product_prices(lines, MONTH_START, MONTH_END)
-        base = base.persist(StorageLevel.MEMORY_AND_DISK)
         return operator(lines, MONTH_START, MONTH_END, base)
 
     return run

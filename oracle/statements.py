@@ -72,7 +72,7 @@ def money(x: str) -> str:
     return f"CAST(sum({x}) AS DOUBLE)"
 
 
-def mean(x: str, places: int = 8) -> str:
+def mean(x: str, places: int = 18) -> str:
     """Mean over decimals, taken from the printed digits of the double."""
     digits = f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,{places}))"
     return f"(CAST(sum({digits}) AS DOUBLE) / count({x}))"
@@ -345,8 +345,8 @@ SELECT campaign_count, total_spend, total_revenue, deficit_count,
        CASE WHEN total_spend > 0 THEN {half_away(ratio("total_revenue", "total_spend"), 2)}
             ELSE 0 END AS overall_roas, stop_keyword_count
 FROM (SELECT count(*) AS campaign_count, count(*) FILTER (roas < 1) AS deficit_count,
-             coalesce({money("CAST(total_spend AS DECIMAL(28,4))")}, 0) AS total_spend,
-             coalesce({money("CAST(attributed_revenue AS DECIMAL(28,4))")}, 0) AS total_revenue
+             coalesce({money("CAST(CAST(total_spend AS VARCHAR) AS DECIMAL(38,8))")}, 0) AS total_spend,
+             coalesce({money("CAST(CAST(attributed_revenue AS VARCHAR) AS DECIMAL(38,8))")}, 0) AS total_revenue
       FROM campaigns),
      (SELECT count(*) FILTER (keyword_grade LIKE '%중단%') AS stop_keyword_count FROM keywords)"""
 
@@ -368,7 +368,7 @@ WHERE total_qty >= 10"""
 PRICES = f"""prices AS (
   SELECT sku, product_name, category, channel, {mean("unit_price")} AS p, {whole("quantity")} AS qty,
          {money("revenue")} AS r,
-         {mean("((unit_price - unit_cost) / nullif(unit_price, 0))", 12)} * 100 AS margin
+         {mean("((unit_price - unit_cost) / nullif(unit_price, 0))")} * 100 AS margin
   FROM order_lines WHERE {MARCH} GROUP BY ALL),
 shelf AS (
   SELECT category, channel, {mean("p")} AS mean, min(p) AS low, max(p) AS high,

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmetrics.functions.days import Day, as_date, days_before, trailing_days
-from shelfmetrics.functions.joins import join_stats
 from shelfmetrics.functions.labels import (
     DELIVERY_IMMEDIATE,
     DELIVERY_RISK,
@@ -26,9 +25,10 @@ from shelfmetrics.functions.labels import (
     grade,
     reorder_alert_level,
 )
-from shelfmetrics.functions.metrics import change_pct, pct, round_half_away, safe_div
+from shelfmetrics.functions.metrics import change_pct, exact_stddev, pct, round_half_away, safe_div
 
 SERVICE_FACTOR = 1.65  # 95 % service level
+LAST_DAY = 2_900_000  # days; dates go to the year 9999
 ROCKET = "coupang_rocket"  # fixed value: the fulfilment channel and its warehouse
 
 
@@ -57,7 +57,7 @@ def stock_status(
     )
     days = F.when(F.col("mean_qty") > 0, safe_div("current_stock", "mean_qty"))
     return (
-        join_stats(inventory, demand, ["sku"], ["warehouse"], how="left")
+        inventory.join(demand, "sku", "left")
         .withColumn("days", days)
         .select(
             "sku",
@@ -88,13 +88,13 @@ def depletion_forecast(inventory: DataFrame, orders: DataFrame, as_of: Day) -> D
             _mean_when(last_14).alias("mean_14"),
             _mean_when(last_30).alias("mean_30"),
             _mean_when(week_before).alias("mean_week_before"),
-            F.stddev_samp(F.when(last_30, F.col("daily_qty"))).alias("sigma_30"),
+            exact_stddev(F.when(last_30, F.col("daily_qty"))).alias("sigma_30"),
         )
         .where(F.col("mean_7") > 0)
     )
     stock = inventory.select("sku", "warehouse", "current_stock")
     return (
-        join_stats(stock, demand, ["sku"], ["warehouse"])
+        stock.join(demand, "sku")
         .withColumn("days_7", safe_div("current_stock", "mean_7"))
         .withColumn("trend", safe_div(F.col("mean_7") - F.col("mean_30"), "mean_30"))
         .withColumn("depletion_days_7d", round_half_away("days_7"))
@@ -109,9 +109,11 @@ def depletion_forecast(inventory: DataFrame, orders: DataFrame, as_of: Day) -> D
             "depletion_days_7d",
             round_half_away(safe_div("current_stock", "mean_14")).alias("depletion_days_14d"),
             round_half_away(safe_div("current_stock", "mean_30")).alias("depletion_days_30d"),
-            F.date_add(F.lit(as_date(as_of)), F.col("depletion_days_7d").cast("int")).alias(
-                "estimated_depletion_date"
-            ),
+            # no date for stock that lasts longer than dates go
+            F.date_add(
+                F.lit(as_date(as_of)),
+                F.when(F.abs("depletion_days_7d") <= LAST_DAY, F.col("depletion_days_7d")).cast("int"),
+            ).alias("estimated_depletion_date"),
             round_half_away(F.col("trend") * 100, 1).alias("trend_pct"),
             round_half_away(F.col("mean_7") - F.col("mean_week_before"), 2).alias(
                 "weekly_acceleration"
@@ -137,13 +139,13 @@ def reorder_alert(
         .groupBy("sku")
         .agg(
             F.avg("daily_qty").alias("mean_qty"),
-            F.coalesce(F.stddev_samp("daily_qty"), F.lit(0.0)).alias("sigma"),
+            F.coalesce(exact_stddev("daily_qty"), F.lit(0.0)).alias("sigma"),
         )
         .where(F.col("mean_qty") > 0)
     )
     expected = F.col("mean_qty") * float(lead_time)
     buffer = F.lit(SERVICE_FACTOR) * F.col("sigma") * F.sqrt(F.lit(float(lead_time)))
-    planned = join_stats(inventory, demand, ["sku"], ["warehouse"]).select(
+    planned = inventory.join(demand, "sku").select(
         "sku",
         "product_name",
         "warehouse",
@@ -202,7 +204,7 @@ def rocket_delivery_risk(
     )
     stock = inventory.where(F.col("warehouse") == warehouse).select("sku", "current_stock")
     return (
-        join_stats(stock, demand, ["sku"], ["current_stock"])
+        stock.join(demand, "sku")
         .withColumn("days", safe_div("current_stock", "mean_qty"))
         .where(F.col("days") < 14)
         .select(

@@ -67,7 +67,7 @@ def product_prices(orders: DataFrame, start: Day, end: Day) -> DataFrame:
             steady_avg("unit_price").alias("mean_price"),
             F.sum("quantity").alias("total_qty"),
             money_sum("revenue").alias("sales"),
-            (steady_avg(line_margin, 12) * 100).alias("mean_margin_pct"),
+            (steady_avg(line_margin) * 100).alias("mean_margin_pct"),
         )
     )
 

@@ -11,27 +11,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmetrics.plans.bundles import Report
+from shelfmetrics.sources.tables import CSV_TEXT
 
 NULL_TEXT = "null"
 
 
-def write_json(df: DataFrame, path: str, max_rows: int | None = None) -> None:
-    """JSON lines; ``max_rows`` caps the export only, as the last step."""
-    capped = df if max_rows is None else df.limit(max_rows)
-    capped.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def write_json(df: DataFrame, path: str) -> None:
+    """JSON lines of all rows."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def write_csv(
-    df: DataFrame, path: str, header: bool = True, max_rows: int | None = None
-) -> int:
-    """CSV export; returns the number of rows, counted while they are written."""
+def write_csv(df: DataFrame, path: str, header: bool = True) -> int:
+    """CSV export, blanks and all; returns the number of rows, counted while they are written."""
     counted = Observation("written")
-    capped = df if max_rows is None else df.limit(max_rows)
     (
-        capped.observe(counted, F.count(F.lit(1)).alias("rows"))
+        df.observe(counted, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
+        .options(**CSV_TEXT)
         .option("header", header)
-        .option("escape", '"')
         .csv(path)
     )
     return counted.get["rows"]
@@ -43,7 +40,8 @@ def _text(field: T.StructField) -> Column:
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
         # Plain digits, since spreadsheets do not want 1.25E7.
         digits = value.try_cast("decimal(38,17)").cast("string")
-        text = F.coalesce(F.regexp_replace(digits, r"\.?0+$", ""), text)
+        plain = F.when(digits.cast("double") == value, F.regexp_replace(digits, r"\.?0+$", ""))
+        text = F.coalesce(plain, text)
     return F.coalesce(text, F.lit(NULL_TEXT))
 
 
@@ -75,11 +73,16 @@ def report_stamp(
 
 
 def write_report(report: Report, path: str, generated_at: str) -> dict[str, int]:
-    """Write all tabs below ``path`` and a ``stamp`` next to them; returns rows per tab."""
+    """Write all tabs below ``path`` and a ``stamp`` next to them; returns rows per tab.
+
+    An older stamp goes first, so that a run that fails leaves no stamp beside mixed tabs.
+    """
+    spark = next(iter(report.tabs.values())).sparkSession
+    stamp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/stamp")
+    stamp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(stamp, True)
     rows = {
         tab: write_tab(df, f"{path}/{tab}", report.headers.get(tab))
         for tab, df in report.tabs.items()
     }
-    spark = next(iter(report.tabs.values())).sparkSession
     write_csv(report_stamp(spark, report, generated_at, rows), f"{path}/stamp")
     return rows

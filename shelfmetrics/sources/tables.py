@@ -8,6 +8,16 @@ from pyspark.sql import types as T
 
 from shelfmetrics.sources.schemas import SCHEMAS
 
+#: CSV as spreadsheets write it, with texts unaltered.
+CSV_TEXT = {
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+#: Stands for a quoted empty cell while a sheet is read.
+_EMPTY = "\x00"
+
 _DAY_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -45,8 +55,16 @@ def read_files(
 
 
 def read_sheet(spark: SparkSession, path: str, table: str, header: bool = True) -> DataFrame:
-    """CSV export of a sheet-backed table: every column is text."""
-    return spark.read.csv(path, schema=SCHEMAS[table], header=header, multiLine=False)
+    """CSV export of a sheet-backed table: every column is text.
+
+    Cells may hold quotes, line breaks and blanks; a row with too many or too few cells fails
+    the read. An empty cell is NULL, a quoted one is empty. Sheets are small files, so that a
+    file is read as a whole costs nothing; many files are read in parallel.
+    """
+    reader = spark.read.options(**CSV_TEXT).option("mode", "FAILFAST").option("emptyValue", _EMPTY)
+    df = reader.csv(path, schema=SCHEMAS[table], header=header, multiLine=True)
+    cells = [F.when(F.col(c) != _EMPTY, F.col(c)).when(F.col(c) == _EMPTY, "") for c in df.columns]
+    return df.select(*[cell.alias(c) for cell, c in zip(cells, df.columns, strict=True)])
 
 
 def as_number(column: str, kind: str = "bigint") -> Column:

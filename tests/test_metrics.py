@@ -6,7 +6,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfmetrics.functions.labels import STOCK_STATUS, grade
-from shelfmetrics.functions.metrics import change_pct, pct, round_half_away, safe_div, steady_avg
+from shelfmetrics.functions.metrics import (
+    change_pct,
+    exact_stddev,
+    pct,
+    round_half_away,
+    safe_div,
+    steady_avg,
+)
 
 
 def value(spark, column):
@@ -59,3 +66,28 @@ def test_steady_mean_ignores_row_order(spark):
     }
     assert means == {1.3 / 6}
     assert spark.range(0).agg(steady_avg("id")).first()[0] is None
+
+
+@pytest.mark.parametrize("x", [1e17, -1e17, 1e19, 9.3e16 + 16, math.inf, -math.inf])
+def test_rounding_has_no_ceiling(spark, x):
+    for places in (0, 2):
+        assert value(spark, round_half_away(F.lit(x), places)) == x
+
+
+def test_means_of_tiny_and_odd_values(spark):
+    def mean(*values):
+        return spark.createDataFrame([(float(v),) for v in values], "x double").agg(steady_avg("x")).first()[0]
+
+    assert mean(1e-9, 3e-9) == 2e-9
+    assert mean(1e-25, 3e-25) == pytest.approx(2e-25)
+    assert math.isnan(mean(math.nan, 3))
+    assert mean(math.inf, 3) == math.inf
+
+
+def test_deviation_is_exact_in_any_order(spark):
+    rows = [(k % 7,) for k in range(1000)]
+    want = math.sqrt((1000 * sum(x * x for x, in rows) - sum(x for x, in rows) ** 2) / (1000 * 999))
+    for parts in (1, 7, 16):
+        df = spark.createDataFrame(rows, "x long").repartition(parts)
+        assert df.agg(exact_stddev("x")).first()[0] == want
+    assert spark.range(1).agg(exact_stddev("id")).first()[0] is None

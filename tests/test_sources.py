@@ -2,6 +2,7 @@ import pytest
 
 from rows import AS_OF, only, orders
 from shelfmetrics.operators.sales import daily_sales_summary
+from shelfmetrics.sinks.files import write_csv
 from shelfmetrics.sources import tpch
 from shelfmetrics.sources.schemas import DOCUMENTED_TABLES, REPORT_TABLES, SHEET_TABLES
 from shelfmetrics.sources.tables import as_number, conform, read_files, read_sheet, read_table
@@ -69,6 +70,21 @@ def test_sheet_tables_are_all_text(spark, tmp_path):
     ]
 
 
+def test_sheets_keep_every_text(spark, tmp_path):
+    cells = ['6" film, clear', "two\nlines", "  blanks  ", "", None, "plain", 'q"', ","]
+    schema = DOCUMENTED_TABLES["ext_db_skuid"]
+    df = spark.createDataFrame([(str(k), c) for k, c in enumerate(cells)], schema)
+    assert write_csv(df, f"{tmp_path}/sheet") == len(cells)
+    back = read_sheet(spark, f"{tmp_path}/sheet", "ext_db_skuid")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_malformed_sheet_rows_are_not_swallowed(spark, tmp_path):
+    (tmp_path / "sheet.csv").write_text("sku_id,sku_name\n1,a,surplus\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_sheet(spark, f"{tmp_path}/sheet.csv", "ext_db_skuid").collect()
+
+
 def test_views_without_a_dimension_keep_every_line(spark):
     sf_dir = "/root/testdata/sf0.001"
     full = tpch.order_lines(spark, sf_dir)
