@@ -11,8 +11,9 @@ Documents of equal shingle sets form a class; classes, each by its least id, are
    gives a signature: the hash of the elements in the parts chosen. Similar sets share one.
 3. In each signature's bucket, the most central member (the one with the fewest shingles of
    its own) is compared with the others: a star, not all pairs. Components follow.
-4. Members of a bucket that are in different components still, and by the bound of 1 could
-   reach the threshold, are compared as pairs; no link between classes is lost.
+4. Members of a bucket that are in different components still are compared as pairs where
+   they could reach the threshold: where bounds on what they share leave room for it, from 1
+   and from counts of their shingles by how common these are. No link between classes is lost.
 
 Comparisons are exact, on the texts. Shingles are known by 64-bit hashes.
 """
@@ -190,8 +191,9 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, name:
 def components(edges: DataFrame) -> DataFrame:
     """(id, label): the least id that each id of edges (a, b) can reach.
 
-    Large-star and small-star steps; a node's neighbours are never gathered, only their least.
-    Every step is a written table.
+    In each round a node and all its neighbours are tied to the least of them, until nothing
+    changes and all edges lead to the least of their component. A node's neighbours are never
+    gathered, only their least; every round is a written table.
     """
 
     def state(e: DataFrame) -> tuple:
@@ -199,23 +201,61 @@ def components(edges: DataFrame) -> DataFrame:
 
     ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     e = written(ordered.where("a > b").distinct(), "edges")
-    before = state(e)
-    while before[0]:
+    now, before = state(e), None
+    while now[0] and now != before:
         both = e.unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = written(both.groupBy("a").agg(F.min("b").alias("l")).select("a", F.least("a", "l").alias("l")), "least")
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("l").alias("b"))
-        large = written(large.where("a > b").distinct(), "edges")
-        least = written(large.groupBy("a").agg(F.min("b").alias("l")), "least")
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("l").alias("b")).unionAll(
+        least = both.groupBy("a").agg(F.min("b").alias("l")).select("a", F.least("a", "l").alias("l"))
+        least = written(least, "least")
+        tied = both.join(least, "a").select(F.col("b").alias("a"), F.col("l").alias("b")).unionAll(
             least.select("a", F.col("l").alias("b"))
         )
-        e = written(small.where("a > b").distinct(), "edges")
-        now = state(e)
-        if now == before:
-            break
-        before = now
-    labels = e.groupBy("a").agg(F.min("b").alias("label")).select(F.col("a").alias("id"), "label")
-    return written(labels, "labels")
+        old, e = e, written(tied.where("a > b").distinct(), "edges")
+        discard(old, least)
+        now, before = state(e), now
+    return written(e.groupBy("a").agg(F.min("b").alias("label")).select(F.col("a").alias("id"), "label"), "labels")
+
+
+def _shingle_rows(size: int, bits):
+    """(shingle, id) of the texts whose id is in a bitmap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chosen(bits, True)(batches):
+            for part, sets in shingle_sets(batch, size):
+                ids = np.repeat(part.column("id").to_numpy(), [len(s) for s in sets])
+                every = np.concatenate(sets).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(every), pa.array(ids, pa.int64())], ["shingle", "id"])
+
+    return run
+
+
+def profiles(ids: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(id, profile): how many of a document's shingles fall into each of 64 parts of the domain,
+    which go by how many of the given documents have the shingle, and by hash. Shingles that no
+    other of them has are in no part. Two sets share at most what both have in each part."""
+    bits = bitmap(ids, id_hashes, 1)
+    rows = texts.mapInArrow(_shingle_rows(size, bits), "shingle long, id long").distinct()
+    rows = written(rows, "open-shingles")
+    counts = written(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1"), "shingle-counts")
+    rank = sum((F.col("docs") >= least).cast("int") for least in (4, 16, 64))
+    part = rank * 16 + F.pmod("shingle", F.lit(16)).cast("int")
+    sizes = rows.join(counts, "shingle").groupBy("id", part.alias("part")).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    entries = F.map_from_entries(F.collect_list(F.struct("part", "n")))
+    profile = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: F.coalesce(F.try_element_at("entries", k), F.lit(0)))
+    out = sizes.groupBy("id").agg(entries.alias("entries")).select("id", profile.alias("profile"))
+    out = written(out, "profiles")
+    discard(rows, counts)
+    bits.release()
+    return out
+
+
+def _sum(counts: str | Column) -> Column:
+    return F.aggregate(counts, F.lit(0), lambda total, n: total + n)
+
+
+def _overlap(a: str, b: str, percent: int) -> Column:
+    """Whether profiles leave room for the threshold."""
+    shared = _sum(F.zip_with(f"{a}.profile", f"{b}.profile", lambda x, y: F.least(x, y)))
+    return shared * (100 + percent) >= (F.col(f"{a}.n") + F.col(f"{b}.n")) * percent
 
 
 def _could(a: str, b: str, percent: int) -> Column:
@@ -223,8 +263,8 @@ def _could(a: str, b: str, percent: int) -> Column:
     return m * (100 + percent) >= n * percent
 
 
-def link_edges(texts: DataFrame, classes: DataFrame, size: int, percent: int) -> list[DataFrame]:
-    """Tables of edges (a, b) between similar classes, enough to connect every component."""
+def link_labels(texts: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """(id, label) of the classes that are similar to others: the least id they can reach."""
     reps = bitmap(classes.where("n > 0").select("id"), id_hashes, 1)
     common = bitmap(texts, _rep_shingles(size, reps), 2)
     rows = texts.mapInArrow(_signature_rows(size, percent, reps, common), "sig long, id long, n long, m long")
@@ -236,10 +276,10 @@ def link_edges(texts: DataFrame, classes: DataFrame, size: int, percent: int) ->
     buckets = written(buckets.where("low < high").select("sig", "hub"), "buckets")
     stars = rows.alias("x").join(buckets.alias("y"), "sig").where("x.id <> hub.id").where(_could("x", "hub", percent))
     stars = written(stars.select(F.col("x.id").alias("a"), F.col("hub.id").alias("b")).distinct(), "star-pairs")
-    edges = [verified(stars, texts, size, percent, "star-links")]
+    links = verified(stars, texts, size, percent, "star-links")
 
     # what stars have left: members of one bucket in different components
-    labels = components(edges[0])
+    labels = components(links)
     own = rows.join(buckets.select("sig"), "sig").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     own = written(own, "labelled-rows")
     mixed = own.groupBy("sig").agg(
@@ -249,19 +289,21 @@ def link_edges(texts: DataFrame, classes: DataFrame, size: int, percent: int) ->
     # one that could reach the threshold with no member of the bucket is left out of it
     best = F.col("m") * (100 + percent) >= percent * (F.col("n") + F.greatest("least", "m"))
     open_rows = written(own.join(mixed, "sig").where(best).drop("least"), "open-rows")
+    open_rows = open_rows.join(profiles(open_rows.select("id"), texts, size), "id")
+    open_rows = written(open_rows.where(_sum("profile") * (100 + percent) >= percent * F.col("n")), "profiled-rows")
     pairs = (
         open_rows.alias("x")
         .join(open_rows.alias("y"), F.col("x.sig") == F.col("y.sig"))
-        .where((F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & _could("x", "y", percent))
+        .where((F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & _could("x", "y", percent) & _overlap("x", "y", percent))
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
         .distinct()
     )
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "left-pairs")
     discard(rows, own, open_rows)
-    if not pairs.isEmpty():
-        edges.append(verified(pairs, texts, size, percent, "left-links"))
-    return edges
+    if pairs.isEmpty():
+        return labels
+    return components(links.unionAll(verified(pairs, texts, size, percent, "left-links")))
 
 
 def join_similar(
@@ -284,11 +326,7 @@ def join_similar(
     sets = written(packed.mapInArrow(_set_hashes(size), schema), "sets")
     known = sets.where("id is not null and n > 0")
     classes = written(known.groupBy("s1", "s2").agg(F.min("id").alias("id"), F.first("n").alias("n")), "classes")
-    edges = link_edges(documents.texts, classes, size, percent)
-    every = edges[0]
-    for more in edges[1:]:
-        every = every.unionAll(more)
-    labels = components(every)
+    labels = link_labels(documents.texts, classes, size, percent)
     classes = classes.join(labels, "id", "left").select(
         "s1", "s2", F.col("id").alias("class_id"), F.coalesce("label", "id").alias("label")
     )
