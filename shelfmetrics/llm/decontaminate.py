@@ -214,20 +214,16 @@ def find_leaks(
 
 def hit_words(spans):
     """The number of words in a flat list of ranges."""
-    return F.aggregate(
-        F.sequence(F.lit(0), F.size(spans) - 1, F.lit(1)),
-        F.lit(0).cast("long"),
-        lambda total, i: total + F.when(i % 2 == 1, F.get(spans, i)).otherwise(-F.get(spans, i)),
-    )
+    signed = F.transform(spans, lambda x, i: F.when(i % 2 == 1, x).otherwise(-x))
+    return F.aggregate(signed, F.lit(0).cast("long"), lambda total, x: total + x)
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = find_leaks(docs, benchmark, carry=["doc_id"])
-    hit = F.when(F.size("spans") > 0, hit_words(F.col("spans"))).otherwise(F.lit(0))
     return found.select(
         F.col("row.doc_id").alias("doc_id"),
         "n_words",
-        hit.alias("n_hit"),
+        hit_words(F.col("spans")).alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),

@@ -201,7 +201,7 @@ def test_language_edges(spark):
     train += [(i + 6, "das haus und der garten des königs", "de") for i in range(6)]
     train += [(20, None, "en"), (21, "text without a language")]
     model = language.train(brute.frame(spark, train))
-    docs = [(1, "The Garden"), (2, "der königs"), (3, None), (4, ""), (5, "12 ?! 34"), (None, "the king"), (7, "日本"), (7, "日本")]
+    docs = [(1, "The Garden"), (2, "der königs"), (3, None), (4, ""), (5, "12 ?! 34"), (None, "the king"), (7, "ߘߙ"), (7, "ߘߙ")]
     rows = [(r["row"]["doc_id"], r["lang_pred"], r["score"]) for r in language.predict(brute.frame(spark, docs), model).collect()]
     got = {i: (lang, score) for i, lang, score in rows}
     assert (got[1][0], got[2][0], got[None][0]) == ("en", "de", "en")
