@@ -216,6 +216,42 @@ def bitmap(rows: DataFrame, hashes, least: int) -> Bits:
     return Bits(spark, out.ravel())
 
 
+def _hash_rows(hashes):
+    """(h, n): the distinct hashes(batch) of a task, and how often each was met."""
+
+    def rows(parts: list[np.ndarray]) -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(parts), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            for h in hashes(batch):
+                parts.append(h)
+                size += len(h)
+                if size >= FLUSH:
+                    yield rows(parts)
+                    parts, size = [], 0
+        if size:
+            yield rows(parts)
+
+    return run
+
+
+def hash_column(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    yield batch.column(0).to_numpy().view(np.uint64)
+
+
+def repeated_bitmap(rows: DataFrame, hashes) -> Bits:
+    """As bitmap() with least 2, but the hashes are counted in full, so that only those that are
+    met more than once take slots. It moves more, and lets much less through."""
+    counts = rows.mapInArrow(_hash_rows(hashes), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    repeated = written(counts.where("n > 1").select("h"), "repeated-hashes")
+    bits = bitmap(repeated, hash_column, 1)
+    discard(repeated)
+    return bits
+
+
 def _anchor_hashes(*args):
     return lambda batch: (found.anchor for found, *_ in phrases(batch, *args))
 
@@ -263,7 +299,7 @@ class Repeats:
         self.spans: list[DataFrame] = []
         self.several: list[DataFrame] = []
         borders: list[DataFrame] = []
-        self.anchors = bitmap(texts, _anchor_hashes(*self.args), 2)
+        self.anchors = repeated_bitmap(texts, _anchor_hashes(*self.args))
         schema = "anchor long, content long, id long, low long, count long"
         found = texts.mapInArrow(_phrases(self.args, self.anchors), schema)
         found = written(found.withColumn("band", F.pmod("anchor", F.lit(BANDS)).cast("int")), "phrases", ["band"])
