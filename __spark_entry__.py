@@ -217,20 +217,22 @@ def _daily_sales_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _weekly_inventory_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _stock_and_lines(spark, sf_dir, customers=True)
-    report = bundles.weekly_inventory_alert(*tables, AS_OF, CHANNEL, WAREHOUSE)
+    report = bundles.weekly_inventory_alert(*tables, AS_OF, CHANNEL, WAREHOUSE, share=False)
     return bundles.tab_row_counts(report)
 
 
 def _monthly_business_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     stock, lines = _stock_and_lines(spark, sf_dir, customers=True)
     campaigns = tpch.ad_campaigns(spark, sf_dir)
-    report = bundles.monthly_business_report(lines, stock, campaigns, MONTH, AS_OF, TARGET)
+    report = bundles.monthly_business_report(
+        lines, stock, campaigns, MONTH, AS_OF, TARGET, share=False
+    )
     return bundles.tab_row_counts(report)
 
 
 def _ad_roas_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = bundles.ad_roas_report(
-        tpch.ad_campaigns(spark, sf_dir), tpch.ad_keywords(spark, sf_dir), AD_END
+        tpch.ad_campaigns(spark, sf_dir), tpch.ad_keywords(spark, sf_dir), AD_END, share=False
     )
     return bundles.tab_row_counts(report)
 

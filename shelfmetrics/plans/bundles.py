@@ -2,8 +2,9 @@
 
 A bundle is a set of lazy tabs. What several tabs read (the monthly cells, the
 stock status, the campaign and keyword reports) is persisted to memory with spill
-to disk, so facts are scanned once; lost blocks are recomputed from the source.
-Use a bundle as a context manager to release that storage after writing.
+to disk, so that it is computed once; lost blocks are recomputed from the source.
+Use a bundle as a context manager to release that storage after writing, or build it
+with ``share=False``, which persists nothing.
 """
 
 from __future__ import annotations
@@ -45,8 +46,8 @@ class Report:
             df.unpersist()
 
 
-def _share(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def _share(df: DataFrame, share: bool) -> DataFrame:
+    return df.persist(StorageLevel.MEMORY_AND_DISK) if share else df
 
 
 def tab_row_counts(report: Report) -> DataFrame:
@@ -98,9 +99,10 @@ def weekly_inventory_alert(
     as_of: Day,
     channel: str = inventory.ROCKET,
     warehouse: str = inventory.ROCKET,
+    share: bool = True,
 ) -> Report:
-    status = _share(inventory.stock_status(stock, orders, as_of))
-    risk = _share(inventory.rocket_delivery_risk(stock, orders, as_of, channel, warehouse))
+    status = _share(inventory.stock_status(stock, orders, as_of), share)
+    risk = _share(inventory.rocket_delivery_risk(stock, orders, as_of, channel, warehouse), share)
     return Report(
         name="weekly_inventory_alert",
         period=f"{as_date(as_of)}",
@@ -120,10 +122,11 @@ def monthly_business_report(
     month: str,
     as_of: Day,
     target: Decimal | int | float = DEFAULT_TARGET,
+    share: bool = True,
 ) -> Report:
     first, last = month_days(month)
-    cells = _share(sales.monthly_cells(orders, month, as_of))
-    status = _share(inventory.stock_status(stock, orders, as_of))
+    cells = _share(sales.monthly_cells(orders, month, as_of), share)
+    status = _share(inventory.stock_status(stock, orders, as_of), share)
     summary = sales.monthly_comparison_summary(orders, month, target, as_of, cells)
     counts = inventory.stock_status_counts(status)
     kpis = dashboard.monthly_kpi_dashboard(summary, counts, target)
@@ -158,12 +161,16 @@ def monthly_business_report(
 
 
 def ad_roas_report(
-    ad_campaigns: DataFrame, ad_keywords: DataFrame, end: Day, start: Day | None = None
+    ad_campaigns: DataFrame,
+    ad_keywords: DataFrame,
+    end: Day,
+    start: Day | None = None,
+    share: bool = True,
 ) -> Report:
     end: date = as_date(end)
     start = end - timedelta(days=7) if start is None else as_date(start)
-    campaigns = _share(advertising.roas_by_campaign(ad_campaigns, start, end))
-    keywords = _share(advertising.keyword_performance(ad_keywords, start, end))
+    campaigns = _share(advertising.roas_by_campaign(ad_campaigns, start, end), share)
+    keywords = _share(advertising.keyword_performance(ad_keywords, start, end), share)
     return Report(
         name="ad_roas",
         period=f"{start} ~ {end}",
