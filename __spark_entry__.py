@@ -41,6 +41,7 @@ MONTH_START, MONTH_END = "2001-03-01", "2001-03-31"
 CHANNEL, WAREHOUSE = "BUILDING", "ASIA"
 AD_START, AD_END = "2024-01-05", "2024-01-12"
 ADS_FIRST, ADS_LAST = "2024-01-01", "2024-01-30"
+AD_MONTH = "2024-01"
 
 PROFILED = {
     "region": ["r_regionkey"],
@@ -210,31 +211,37 @@ def _table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles
 
 
-def _daily_sales_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = bundles.daily_sales_report(tpch.order_lines(spark, sf_dir), DAY)
-    return bundles.tab_row_counts(report)
+def _daily_report(spark: SparkSession, sf_dir: str) -> bundles.Report:
+    return bundles.daily_sales_report(tpch.order_lines(spark, sf_dir), DAY)
 
 
-def _weekly_inventory_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _inventory_report(spark: SparkSession, sf_dir: str) -> bundles.Report:
     tables = _stock_and_lines(spark, sf_dir, customers=True)
-    report = bundles.weekly_inventory_alert(*tables, AS_OF, CHANNEL, WAREHOUSE, share=False)
-    return bundles.tab_row_counts(report)
+    return bundles.weekly_inventory_alert(*tables, AS_OF, CHANNEL, WAREHOUSE, share=False)
 
 
-def _monthly_business_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _monthly_report(
+    spark: SparkSession, sf_dir: str, ad_month: str | None = None
+) -> bundles.Report:
     stock, lines = _stock_and_lines(spark, sf_dir, customers=True)
     campaigns = tpch.ad_campaigns(spark, sf_dir)
-    report = bundles.monthly_business_report(
-        lines, stock, campaigns, MONTH, AS_OF, TARGET, share=False
+    return bundles.monthly_business_report(
+        lines, stock, campaigns, MONTH, AS_OF, TARGET, share=False, ad_month=ad_month
     )
-    return bundles.tab_row_counts(report)
 
 
-def _ad_roas_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = bundles.ad_roas_report(
+def _ad_report(spark: SparkSession, sf_dir: str) -> bundles.Report:
+    return bundles.ad_roas_report(
         tpch.ad_campaigns(spark, sf_dir), tpch.ad_keywords(spark, sf_dir), AD_END, share=False
     )
-    return bundles.tab_row_counts(report)
+
+
+def _row_counts(report) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: bundles.tab_row_counts(report(spark, sf_dir))
+
+
+def _cells(report, **more) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: bundles.tab_cells(report(spark, sf_dir, **more))
 
 
 def report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -266,10 +273,14 @@ def report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "monthly_kpi_dashboard": _monthly_kpi_dashboard,
         "reviewer_funding_costs": _reviewer_funding_costs,
         "table_profile": _table_profile,
-        "daily_sales_report": _daily_sales_report,
-        "weekly_inventory_alert": _weekly_inventory_alert,
-        "monthly_business_report": _monthly_business_report,
-        "ad_roas_report": _ad_roas_report,
+        "daily_sales_report": _row_counts(_daily_report),
+        "daily_sales_report_cells": _cells(_daily_report),
+        "weekly_inventory_alert": _row_counts(_inventory_report),
+        "weekly_inventory_alert_cells": _cells(_inventory_report),
+        "monthly_business_report": _row_counts(_monthly_report),
+        "monthly_business_report_cells": _cells(_monthly_report, ad_month=AD_MONTH),
+        "ad_roas_report": _row_counts(_ad_report),
+        "ad_roas_report_cells": _cells(_ad_report),
     }
 
 

@@ -477,6 +477,159 @@ def tab_counts(tabs: dict[str, str]) -> str:
     )
 
 
+# Bundles: cells ------------------------------------------------------------------
+
+
+def cells(tab: str, source: str, columns: str, keys: str = "", headers: str = "") -> str:
+    """Each value of ``source``, under its row's key; columns with # are doubles."""
+    listed = columns.split()
+    names = headers.split(", ") if headers else [c.lstrip("#") for c in listed]
+    values = ", ".join(
+        f"{{'header': '{name}', "
+        + (
+            f"'text': NULL::VARCHAR, 'number': CAST({column[1:]} AS DOUBLE)}}"
+            if column.startswith("#")
+            else f"'text': CAST({column} AS VARCHAR), 'number': NULL::DOUBLE}}"
+        )
+        for column, name in zip(listed, names, strict=True)
+    )
+    key = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys.split())
+    return f"""SELECT tab, row_key, c.header AS header, c.text AS text, c.number AS number
+FROM (SELECT '{tab}' AS tab, CAST(to_json([{key}]::VARCHAR[]) AS VARCHAR) AS row_key,
+             unnest([{values}]) AS c FROM ({source}) AS t)"""
+
+
+DAILY_CELLS = (
+    "sale_date channel category order_count total_qty #total_revenue #total_cost #gross_profit "
+    "#gpm_pct"
+)
+TOP_CELLS = "product_id product_name sku total_qty #total_revenue order_count #avg_price #gpm_pct"
+TOP_KEY = "product_id product_name sku"
+MONTH_CELLS = (
+    "channel category cur_orders #cur_revenue #cur_profit #cur_gpm_pct yoy_orders #yoy_revenue "
+    "#yoy_profit #yoy_gpm_pct #revenue_yoy_pct #orders_yoy_pct #profit_yoy_pct "
+)
+CAMPAIGN_CELLS = (
+    "campaign_id campaign_name platform impressions clicks #ctr_pct #total_spend "
+    "#attributed_revenue #roas orders #cpa efficiency"
+)
+CAMPAIGN_KEY = "campaign_id campaign_name platform"
+KEYWORD_CELLS = (
+    "keyword match_type campaign_name platform impressions clicks #ctr_pct #keyword_spend #cpc "
+    "conversions #cvr_pct #revenue #roas #cpa keyword_grade conversion_quality"
+)
+KEYWORD_KEY = "keyword match_type campaign_name platform"
+# The month's tab names columns by hand; these are the orders in which the sheets print them.
+SOLD_SHEET = (
+    "채널, 카테고리, 당월 주문수, 당월 매출, 당월 이익, 당월 GPM%, 전년 주문수, 전년 매출, 전년 이익, "
+    "전년 GPM%, 매출 YoY%, 주문 YoY%, 이익 YoY%, 목표기여율%"
+)
+TOP_SHEET = "상품ID, 상품명, SKU, 판매수량, 매출, 주문수, 평균단가, GPM%"
+STOCK_SHEET = "SKU, 상품명, 창고, 현재재고, 일평균판매, 잔여일수, 상태"
+ADS_SHEET = (
+    "캠페인ID, 캠페인명, 플랫폼, 노출수, 클릭수, CTR%, 광고비, 기여매출, ROAS, 주문수, CPA, 효율등급"
+)
+
+
+def on_days(sql: str, *days: tuple[str, str]) -> str:
+    """The statement with other days in place of its own."""
+    for own, other in days:
+        assert own in sql
+        sql = sql.replace(own, other)
+    return sql
+
+
+def bundle_cells() -> dict[str, str]:
+    a_day = day_window("2001-03-15", "2001-03-15")
+    ads = with_(AD_FACTS, campaigns(*WEEK), keywords(*WEEK))
+    own_month = with_(AD_FACTS, campaigns("2024-01-01", "2024-01-31"))
+    tabs = {
+        "daily_sales_report_cells": [
+            cells("daily_sales", DAILY, DAILY_CELLS, "sale_date channel category"),
+            cells(
+                "top_sellers",
+                on_days(TOP, (MARCH, a_day), ("LIMIT 20", "LIMIT 10")),
+                TOP_CELLS,
+                TOP_KEY,
+            ),
+        ],
+        "weekly_inventory_alert_cells": [
+            cells("summary", ALERTS, "critical_count warning_count immediate_count urgent_total"),
+            cells(
+                "urgent_skus",
+                URGENT,
+                "source sku product_name #days_left",
+                "source sku product_name",
+            ),
+        ],
+        "monthly_business_report_cells": [
+            cells("summary", KPIS, "item value", "item", "항목, 값"),
+            cells(
+                "monthly_sales",
+                MONTH_DETAIL,
+                MONTH_CELLS + "#target_contribution_pct",
+                "channel category",
+                SOLD_SHEET,
+            ),
+            cells(
+                "monthly_total", MONTH_SUMMARY, MONTH_CELLS + "#target_achievement_pct #ytd_revenue"
+            ),
+            cells("top_sellers", TOP, TOP_CELLS, TOP_KEY, TOP_SHEET),
+            cells(
+                "stock_status",
+                with_(ORDER_LINES, STATUS) + "SELECT * FROM status",
+                "sku product_name warehouse current_stock #avg_daily_sales #days_of_stock status",
+                "sku product_name warehouse",
+                STOCK_SHEET,
+            ),
+            cells(
+                "ad_performance",
+                own_month + "SELECT * FROM campaigns",
+                CAMPAIGN_CELLS,
+                CAMPAIGN_KEY,
+                ADS_SHEET,
+            ),
+        ],
+        "ad_roas_report_cells": [
+            cells("campaigns", ads + "SELECT * FROM campaigns", CAMPAIGN_CELLS, CAMPAIGN_KEY),
+            cells(
+                "deficit_campaigns",
+                ads + "SELECT * FROM campaigns WHERE roas < 1",
+                CAMPAIGN_CELLS,
+                CAMPAIGN_KEY,
+            ),
+            cells(
+                "spend_efficiency",
+                on_days(SPEND, *zip(ALL_DAYS, WEEK, strict=True)),
+                "report_date platform #daily_spend impressions clicks orders #cpc #cpm #cpa "
+                "#ctr_pct #cvr_pct #roas #cpc_change_pct spend_efficiency",
+                "report_date platform",
+            ),
+            cells("keywords", ads + "SELECT * FROM keywords", KEYWORD_CELLS, KEYWORD_KEY),
+            cells(
+                "stop_review_keywords",
+                ads + "SELECT * FROM keywords WHERE keyword_grade LIKE '%중단%'",
+                KEYWORD_CELLS,
+                KEYWORD_KEY,
+            ),
+            cells(
+                "weekly_trend",
+                on_days(AD_WEEKS, ("2024-01-02", "2023-12-15"), ("2024-01-30", "2024-01-12")),
+                "week_start #weekly_spend #weekly_revenue #weekly_roas weekly_orders #weekly_cpa "
+                "#weekly_ctr_pct #weekly_cvr_pct",
+                "week_start",
+            ),
+            cells(
+                "summary",
+                OVERALL,
+                "campaign_count #total_spend #total_revenue deficit_count #overall_roas "
+                "stop_keyword_count",
+            ),
+        ],
+    }
+    return {name: "\nUNION ALL ".join(parts) for name, parts in tabs.items()}
+
+
 def statements() -> dict[str, str]:
     ads = with_(AD_FACTS, campaigns(*WEEK), keywords(*WEEK))
     return {
@@ -541,4 +694,5 @@ def statements() -> dict[str, str]:
                 "summary": f"({OVERALL})",
             },
         ),
+        **bundle_cells(),
     }

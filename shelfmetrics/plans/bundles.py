@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmetrics.functions.days import Day, as_date, month_days
 from shelfmetrics.operators import advertising, dashboard, inventory, sales
@@ -26,13 +27,17 @@ DEFAULT_TARGET = 500_000_000  # fixed value
 
 @dataclass
 class Report:
-    """Tabs by name, their localised titles and headers, and the period they cover."""
+    """Tabs by name, their localised titles and headers, and the period they cover.
+
+    ``keys`` names the columns that tell a tab's rows apart; a tab of one row has none.
+    """
 
     name: str
     period: str
     tabs: dict[str, DataFrame]
     titles: dict[str, str]
     headers: dict[str, list[str]] = field(default_factory=dict)
+    keys: dict[str, list[str]] = field(default_factory=dict)
     shared: list[DataFrame] = field(default_factory=list)
 
     def __enter__(self) -> Report:
@@ -59,6 +64,41 @@ def tab_row_counts(report: Report) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def tab_cells(report: Report) -> DataFrame:
+    """Every cell of every tab: tab, row key, header, and the value as text or as a double.
+
+    The row key is a JSON array of the key columns. Where several rows of a tab share it (the
+    urgent SKUs of more than one warehouse), only one other column is left to tell them apart.
+    """
+    return reduce(
+        DataFrame.unionByName,
+        [
+            _cells(tab, df, report.keys.get(tab, []), report.headers.get(tab, df.columns))
+            for tab, df in report.tabs.items()
+        ],
+    )
+
+
+def _cells(tab: str, df: DataFrame, keys: list[str], header: list[str]) -> DataFrame:
+    key = F.array(*[F.col(k).cast("string") for k in keys]).cast("array<string>")
+    cells = []
+    for kept, name in zip(df.schema.fields, header, strict=True):
+        value = F.col(kept.name)
+        double = isinstance(kept.dataType, T.DoubleType)
+        text = F.lit(None) if double else value
+        number = value if double else F.lit(None)
+        cells.append(
+            F.struct(
+                F.lit(name).alias("header"),
+                text.cast("string").alias("text"),
+                number.cast("double").alias("number"),
+            )
+        )
+    return df.select(
+        F.lit(tab).alias("tab"), F.to_json(key).alias("row_key"), F.inline(F.array(*cells))
+    )
+
+
 # Tab titles and header rows of the spreadsheets.
 
 TITLE_DAILY, TITLE_TOP, TITLE_MONTH, TITLE_STOCK = "일간매출", "베스트셀러", "매출요약", "재고현황"
@@ -79,6 +119,10 @@ HEADER_ADS = [
 ]
 HEADER_SUMMARY = ["항목", "값"]
 
+_TOP_KEY = ["product_id", "product_name", "sku"]
+_CAMPAIGN_KEY = ["campaign_id", "campaign_name", "platform"]
+_KEYWORD_KEY = ["keyword", "match_type", "campaign_name", "platform"]
+
 
 def daily_sales_report(orders: DataFrame, day: Day) -> Report:
     day = as_date(day)
@@ -90,6 +134,7 @@ def daily_sales_report(orders: DataFrame, day: Day) -> Report:
             "top_sellers": sales.top_sellers(orders, day, day, 10),
         },
         titles={"daily_sales": TITLE_DAILY, "top_sellers": TITLE_TOP},
+        keys={"daily_sales": ["sale_date", "channel", "category"], "top_sellers": _TOP_KEY},
     )
 
 
@@ -111,6 +156,7 @@ def weekly_inventory_alert(
             "urgent_skus": inventory.urgent_sku_list(status, risk),
         },
         titles={"summary": TITLE_SUMMARY, "urgent_skus": TITLE_URGENT},
+        keys={"urgent_skus": ["source", "sku", "product_name"]},
         shared=[status, risk],
     )
 
@@ -123,8 +169,11 @@ def monthly_business_report(
     as_of: Day,
     target: Decimal | int | float = DEFAULT_TARGET,
     share: bool = True,
+    ad_month: str | None = None,
 ) -> Report:
+    """``ad_month`` is the month of the ad tab where it is not that of the sales."""
     first, last = month_days(month)
+    ad_days = month_days(month if ad_month is None else ad_month)
     cells = _share(sales.monthly_cells(orders, month, as_of), share)
     status = _share(inventory.stock_status(stock, orders, as_of), share)
     summary = sales.monthly_comparison_summary(orders, month, target, as_of, cells)
@@ -139,7 +188,7 @@ def monthly_business_report(
             "monthly_total": summary,
             "top_sellers": sales.top_sellers(orders, first, last, 20),
             "stock_status": status,
-            "ad_performance": advertising.roas_by_campaign(ad_campaigns, first, last),
+            "ad_performance": advertising.roas_by_campaign(ad_campaigns, *ad_days),
         },
         titles={
             "summary": TITLE_SUMMARY,
@@ -156,6 +205,13 @@ def monthly_business_report(
             "stock_status": HEADER_STOCK,
             "ad_performance": HEADER_ADS,
         },
+        keys={
+            "summary": ["item"],
+            "monthly_sales": ["channel", "category"],
+            "top_sellers": _TOP_KEY,
+            "stock_status": ["sku", "product_name", "warehouse"],
+            "ad_performance": _CAMPAIGN_KEY,
+        },
         shared=[cells, status],
     )
 
@@ -192,5 +248,13 @@ def ad_roas_report(
             "weekly_trend": TITLE_WEEKLY,
             "summary": TITLE_SUMMARY,
         },
+        keys={
+            "campaigns": _CAMPAIGN_KEY,
+            "deficit_campaigns": _CAMPAIGN_KEY,
+            "spend_efficiency": ["report_date", "platform"],
+            "keywords": _KEYWORD_KEY,
+            "stop_review_keywords": _KEYWORD_KEY,
+            "weekly_trend": ["week_start"],
+        },
         shared=[campaigns, keywords],
     )

@@ -208,3 +208,26 @@ def test_command_line_runs_each_report(spark, tmp_path):
         with cli.build(args, tables.__getitem__) as built:
             assert built.tabs
     assert built.period == "2026-03-13 ~ 2026-03-20"
+
+
+@pytest.mark.parametrize(
+    "name, tabs",
+    [
+        ("daily_sales_report", 2),
+        ("weekly_inventory_alert", 2),
+        ("monthly_business_report", 6),
+        ("ad_roas_report", 7),
+    ],
+)
+def test_bundle_queries_hand_out_every_cell(spark, name, tabs):
+    counted = registered.queries()[name](spark, f"{TESTDATA}/sf0.01").collect()
+    cells = registered.queries()[f"{name}_cells"](spark, f"{TESTDATA}/sf0.01").collect()
+    width = {}
+    for c in cells:
+        width.setdefault(c.tab, set()).add(c.header)
+        assert c.text is None or c.number is None
+    assert len(width) == tabs  # the month's ad tab, too, has rows in its own month
+    rows = {tab: sum(c.tab == tab for c in cells) / len(width[tab]) for tab in width}
+    for r in counted:
+        if r.tab != "ad_performance":
+            assert rows[r.tab] == r.row_count
