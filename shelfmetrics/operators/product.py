@@ -7,7 +7,7 @@ and the order lines are scanned once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmetrics.functions.days import Day, in_days
@@ -23,8 +23,9 @@ from shelfmetrics.functions.metrics import (
 
 _PRODUCT = ["sku", "product_name", "category", "channel"]
 _SHELF = ["category", "channel"]
-# A hair below the hundredths: 0.28 * 25 is just above 7 in doubles, and its rank is 7.
-PERCENTILES = [max(0.0, i / 100 - 1e-12) for i in range(101)]
+#: Prices of a shelf that are drawn, by their hash, to cut it into buckets; one in so many is a cut.
+_DRAWN, _CUT_EVERY = 2_000, 16
+_HASHES = 1 << 30
 
 
 def gpm_analysis(orders: DataFrame, start: Day, end: Day, min_qty: int = 10) -> DataFrame:
@@ -77,25 +78,85 @@ def category_price_stats(
 ) -> DataFrame:
     """Price mean, range, 101 quantiles and SKU count per category and channel.
 
-    The mean is the plain mean of the product means. Quantiles come from mergeable
-    sketches, exact while a group holds fewer products than the sketch accuracy.
+    The mean is the plain mean of the product means. Quantile i is the known price of rank
+    ceil(i / 100 * n), at least 1, of the shelf's n known prices; without any there is no array.
     """
     base = product_prices(orders, start, end) if base is None else base
-    quantiles = F.percentile_approx("mean_price", PERCENTILES, 10000).alias("price_quantiles")
-    # Apart from the distinct count, which would keep one sketch per SKU.
-    sketches = base.groupBy(*_SHELF).agg(quantiles).toDF("of_category", "of_channel", "price_quantiles")
-    same_shelf = F.col("category").eqNullSafe(F.col("of_category")) & F.col("channel").eqNullSafe(
-        F.col("of_channel")
-    )
+    # Apart from the distinct count, which would repeat every row.
     return (
         _shelf_stats(base)
-        .join(sketches, same_shelf)
+        .withColumn("_shelf", F.struct(*_SHELF))
+        .join(_shelf_quantiles(base), "_shelf", "left")
         .select(
             *_SHELF, "cat_avg_price", "cat_min_price", "cat_max_price", "price_quantiles", "sku_count"
         )
     )
 
 
+def _shelf_quantiles(base: DataFrame) -> DataFrame:
+    """Exact quantiles per shelf, ranked over buckets of prices, so that no task holds a shelf.
+
+    Cuts between buckets come from prices drawn by their hash: they only depend on the rows, not on
+    how these are dealt. A shelf is a struct, which also matches where a part of it is NULL.
+    """
+    prices = (
+        base.where(F.col("mean_price").isNotNull())
+        .select(F.struct(*_SHELF).alias("_shelf"), F.col("mean_price").alias("_price"))
+        .groupBy("_shelf", "_price")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    sizes = prices.groupBy("_shelf").agg(
+        F.sum("_n").alias("_size"), F.count(F.lit(1)).alias("_prices")
+    )
+    draw = F.pmod(F.xxhash64("_shelf", "_price"), F.lit(_HASHES))
+    drawn = join_stats(prices, sizes, ["_shelf"], ["_price"]).where(
+        draw * F.col("_prices") < _HASHES * _DRAWN
+    )
+    cuts = drawn.groupBy("_shelf").agg(
+        F.filter(
+            F.sort_array(F.collect_list("_price")), lambda _, i: i % _CUT_EVERY == _CUT_EVERY - 1
+        ).alias("_cuts")
+    )
+    shelves = sizes.join(cuts, "_shelf", "left").drop("_prices")
+    below = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col("_price"))), F.lit(0))
+    placed = (
+        join_stats(prices, shelves, ["_shelf"], ["_price"])
+        .withColumn("_bucket", F.when(F.col("_cuts").isNull(), 0).otherwise(below))
+        .drop("_cuts")
+    )
+    earlier = Window.partitionBy("_shelf").orderBy("_bucket").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = (
+        placed.groupBy("_shelf", "_bucket")
+        .agg(F.sum("_n").alias("_held"))
+        .withColumn("_before", F.coalesce(F.sum("_held").over(earlier), F.lit(0)))
+        .drop("_held")
+    )
+    within = Window.partitionBy("_shelf", "_bucket").orderBy("_price").rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    # A price has the ranks from _low + 1 to _high, and with them the quantiles _first to _last.
+    return (
+        placed.withColumn("_up_to", F.sum("_n").over(within))
+        .join(offsets, ["_shelf", "_bucket"])
+        .withColumn("_high", F.col("_before") + F.col("_up_to"))
+        .withColumn("_low", F.col("_high") - F.col("_n"))
+        .withColumn("_first", F.expr("if(_low = 0, 0, _low * 100 div _size + 1)"))
+        .withColumn("_last", F.expr("_high * 100 div _size"))
+        .where("_first <= _last")
+        .groupBy("_shelf")
+        .agg(F.sort_array(F.collect_list(F.struct("_first", "_last", "_price"))).alias("_steps"))
+        .select(
+            "_shelf",
+            F.expr(
+                "flatten(transform(_steps, s -> "
+                "array_repeat(s._price, cast(s._last - s._first + 1 as int))))"
+            ).alias("price_quantiles"),
+        )
+    )
+
+
 def _shelf_stats(base: DataFrame) -> DataFrame:
     return base.groupBy(*_SHELF).agg(
         steady_avg("mean_price").alias("cat_avg_price"),

@@ -162,3 +162,24 @@ def test_quantile_ranks_of_exact_multiples(spark):
     df = orders(spark, *[product(f"s{i:02}", float(i)) for i in range(1, 26)])
     quantiles = only(ops.category_price_stats(df, AS_OF, AS_OF)).price_quantiles
     assert quantiles == [max(1, (i * 25 + 99) // 100) for i in range(101)]
+
+
+@pytest.mark.parametrize("partitions", [4, 16])
+def test_quantiles_of_a_large_shelf_are_exact(spark, partitions):
+    n = 60_000
+    price = (F.col("id") * 7919 % n + 1).cast("double")
+    base = spark.range(n).repartition(partitions).select(
+        F.col("id").cast("string").alias("sku"), F.lit("case").alias("category"),
+        F.when(F.col("id") < 0, "web").alias("channel"), price.alias("mean_price"),
+    )
+    # one price that many products share
+    hot = spark.range(n).select(
+        F.concat(F.lit("h"), "id").alias("sku"), F.lit("hot"), F.lit("web"),
+        F.when(F.col("id") % 10 > 0, 5.0).otherwise(F.col("id").cast("double")),
+    )
+    unknown = spark.createDataFrame([("u", "none", "web", None)], base.schema)
+    rows = by(ops.category_price_stats(None, AS_OF, AS_OF, base.union(hot).union(unknown)), "category")
+    assert rows["case"].price_quantiles == [max(1, i * n // 100) for i in range(101)]
+    prices = sorted([5.0] * (n - n // 10) + [float(k) for k in range(0, n, 10)])
+    assert rows["hot"].price_quantiles == [prices[max(1, i * n // 100) - 1] for i in range(101)]
+    assert rows["none"].price_quantiles is None
