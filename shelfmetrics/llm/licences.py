@@ -1,8 +1,10 @@
 """License scan: a trained paragraph classifier whose predictions templates confirm.
 
-A paragraph is a line. Its features are hashed words and pairs of words; a multinomial
+A paragraph is a line. A notice wrapped over several lines between blank ones is found by the word
+pairs of its joined lines, and counts once in place of these. A paragraph's features are hashed words and pairs of words; a multinomial
 logistic regression over them tells licence families from other text. It is fitted on
-variants of the templates below and on a bounded sample of the corpus's own paragraphs.
+variants of the templates below, on notices of other licences as examples of `unknown`, and on a
+bounded sample of the corpus's own paragraphs, without those that speak of rights or licences.
 Probabilities are calibrated by a temperature fitted on a held-out part. A paragraph that
 is a licence by them, but of no family with enough certainty, or that does not hold enough
 of the predicted family's template, is reported as `unknown`.
@@ -10,6 +12,8 @@ of the predicted family's template, is reported as `unknown`.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,10 +29,12 @@ TEMPLATES = {
     "apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     ],
     "bsd-3-clause": [
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     ],
     "cc-by-4.0": [
         "Licensed under CC BY 4.0.",
@@ -45,24 +51,43 @@ TEMPLATES = {
     "gpl-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     ],
     "gpl-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ],
     "lgpl-3.0": [
         "This work is licensed under the GNU Lesser General Public License, version 3.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ],
     "mit": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
     ],
     "mpl-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, Version 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     ],
 }
+#: Notices of no family above.
+OTHERS = [
+    "All rights reserved.",
+    "Copyright (c) 2020 by the authors. All rights reserved.",
+    "No part of this publication may be reproduced without prior written permission of the publisher.",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "This is free and unencumbered software released into the public domain.",
+    "Distributed under the Boost Software License, Version 1.0.",
+    "Made available under the terms of the Eclipse Public License v. 2.0.",
+    "You may use this file under the terms of the Artistic License 2.0.",
+    "This work is licensed under the terms of a proprietary licence agreement.",
+]
+#: Paragraphs with such words are not taught as plain text.
+RIGHTS = re.compile(r"licen[cs]|copyright|rights reserved|permission (is|to)\b|redistribut|public domain", re.I)
 NONE, UNKNOWN = "none", "unknown"
 FEATURE_BITS = 16
 #: About so many documents are read for paragraphs that are no licences, and so many of these kept.
@@ -155,7 +180,7 @@ def _variants(notice: str, background: list[str], n: int, rng: np.random.Generat
 
 def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", train_docs: int = TRAIN_DOCS) -> Classifier:
     """Fit the classifier; the corpus gives the paragraphs that are no licences. Lines that
-    confirm a template are not taken for such."""
+    confirm a template or speak of rights are not taken for such."""
     own = docs.where(F.col(text_col).isNotNull())
     total = own.count()
     share = min(1.0, train_docs / total) if total else 1.0
@@ -166,12 +191,14 @@ def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", train
     templates = template_pairs()
     background = []
     for line in some:
+        if RIGHTS.search(line):
+            continue
         _, pairs, _ = _of_lines([line])
         own_pairs = set(pairs.tolist())
         if all(len(t & own_pairs) < CONFIRM * len(t) for ts in templates.values() for t in ts):
             background.append(line)
     rng = np.random.default_rng(7)
-    families = [NONE, *sorted(TEMPLATES)]
+    families = [NONE, UNKNOWN, *sorted(TEMPLATES)]
     texts = list(background)
     for line in background:  # short ones, too
         words = line.split()
@@ -179,7 +206,7 @@ def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", train
         texts.append(" ".join(words[at : at + rng.integers(1, 6)]))
     labels = [0] * len(texts)
     for label, family in enumerate(families[1:], 1):
-        for notice in TEMPLATES[family]:
+        for notice in OTHERS if family == UNKNOWN else TEMPLATES[family]:
             variants = _variants(notice, background, VARIANTS, rng)
             texts += variants
             labels += [label] * len(variants)
@@ -228,6 +255,70 @@ def _fit(feature: np.ndarray, of: np.ndarray, target: np.ndarray, chosen: np.nda
     return w.astype(np.float32)
 
 
+def _wrapped(raw: np.ndarray, start: np.ndarray, end: np.ndarray, text: np.ndarray, templates: dict[str, list[set[int]]], model: Classifier):
+    """(first line, last line, family, probability) of notices that lie over several lines without a
+    blank one between; family is None where templates agree but the classifier is not certain."""
+    low, high, first = symbols.words(raw, np.append(start, len(raw)), NOT_ALNUM)
+    if len(low) < 2:
+        return
+    line = np.searchsorted(start, low, "right") - 1
+    h = symbols.hashes(raw, low, high)
+    pair = mix(h[:-1] * U(3) + h[1:])
+    # blank lines and those without a word are lines that no word has
+    joined = (line[1:] - line[:-1] <= 1) & (text[line[1:]] == text[line[:-1]])
+    block = np.cumsum(np.append(0, ~joined))[:-1]
+    known = [(t, f) for f, ts in templates.items() for t in ts]
+    names = np.array(sorted(set().union(*[t for t, _ in known])), U)
+    holds = np.array([[int(n) in t for t, _ in known] for n in names])
+    often = [Counter(_of_lines([notice])[1].tolist()) for notices in TEMPLATES.values() for notice in notices]
+    need = CONFIRM * holds.sum(axis=0)
+    at = np.minimum(np.searchsorted(names, pair), len(names) - 1)
+    hit = np.flatnonzero((names[at] == pair) & joined)
+    if not len(hit):
+        return
+    own = np.unique(np.stack([block[hit], at[hit]]), axis=1)
+    begin = np.flatnonzero(np.diff(own[0], prepend=-1))
+    whole = np.add.reduceat(holds[own[1]].astype(np.int64), begin, axis=0)
+    spans = []
+    for b, t in np.argwhere(whole >= need):
+        lo, hi = np.searchsorted(block[hit], [own[0][begin[b]], own[0][begin[b]] + 1])
+        mine = [int(k) for k in hit[lo:hi] if holds[at[k], t]]
+        most, size = 2 * int(holds[:, t].sum()) + 20, {}
+        left, past = 0, -1
+        for right, k in enumerate(mine):
+            if right <= past:
+                continue
+            size[int(at[k])] = size.get(int(at[k]), 0) + 1
+            while k - mine[left] > most or size[int(at[mine[left]])] > 1:
+                name = int(at[mine[left]])
+                size[name] -= 1
+                if not size[name]:
+                    del size[name]
+                left += 1
+            if len(size) >= need[t]:
+                # on to the notice's end, but not into another copy
+                last, seen = right, Counter(int(names[at[k]]) for k in mine[left : right + 1])
+                while last + 1 < len(mine) and mine[last + 1] - mine[last] <= 6:
+                    seen[int(names[at[mine[last + 1]]])] += 1
+                    if seen[int(names[at[mine[last + 1]]])] > often[t][int(names[at[mine[last + 1]]])]:
+                        break
+                    last += 1
+                held = len({int(at[k]) for k in mine[left : last + 1]})
+                spans.append((held / holds[:, t].sum(), held, mine[left], mine[last] + 1))
+                size, left, past = {}, last + 1, last
+    taken: list[tuple[int, int]] = []
+    for _, _, lo, hi in sorted(spans, key=lambda x: (-x[1], -x[0], x[2])):
+        if line[lo] == line[hi] or any(lo <= y and x <= hi for x, y in taken):
+            continue
+        taken.append((lo, hi))
+        inside = pair[lo:hi]
+        feature = (np.concatenate([h[lo : hi + 1], inside]) >> U(64 - FEATURE_BITS)).astype(np.int64)
+        p = model.probabilities(model.logits(feature, np.zeros(len(feature), np.int64))[1])[0]
+        family, sure = model.families[2 + int(p[2:].argmax())], float(p[2:].max())
+        held = max(len(t & set(inside.tolist())) / len(t) for t in templates[family])
+        yield int(line[lo]), int(line[hi]), family if sure >= CERTAIN and held >= CONFIRM else None, sure
+
+
 def _scan(model: Classifier):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = template_pairs()
@@ -241,14 +332,30 @@ def _scan(model: Classifier):
                 n = part.num_rows
                 found: list[list[str]] = [[] for _ in range(n)]
                 unknown, best = np.zeros(n, np.int64), np.zeros(n)
+                lines: dict[int, tuple[str | None, float]] = {}
                 for i in np.flatnonzero(p[:, 0] < 0.5):
-                    k = int(text[at[i]])
-                    family = model.families[1 + int(p[i, 1:].argmax())]
-                    sure = float(p[i, 1:].max())
+                    family = model.families[2 + int(p[i, 2:].argmax())]
+                    sure = float(p[i, 2:].max())
                     lo, hi = np.searchsorted(of, [at[i], at[i] + 1])
                     own = set(pairs[lo:hi].tolist())
                     held = max(len(t & own) / len(t) for t in templates[family])
-                    if sure >= CERTAIN and held >= CONFIRM:
+                    lines[int(at[i])] = (family if sure >= CERTAIN and held >= CONFIRM else None, sure)
+                for low, high, family, sure in _wrapped(raw, start, end, text, templates, model):
+                    inside = [k for k in range(low, high + 1) if k in lines]
+                    # lines that are whole notices stay; the others are parts of this one
+                    counted = any(lines[k][0] == family for k in inside if family)
+                    for k in inside:
+                        if lines[k][0] is None:
+                            del lines[k]
+                    if counted:
+                        continue
+                    if family or not any(k in lines for k in inside):
+                        free = next((k for k in range(low, high + 1) if k not in lines), None)
+                        if free is not None:
+                            lines[free] = (family, sure)
+                for line, (family, sure) in lines.items():
+                    k = int(text[line])
+                    if family:
                         found[k].append(family)
                         best[k] = max(best[k], sure)
                     else:
@@ -271,7 +378,7 @@ def _scan(model: Classifier):
 
 def scan(docs: DataFrame, model: Classifier, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Returns per row of docs: `row` (the columns in carry; all by default), n_paragraphs (lines;
-    a null or empty text is one empty line), n_licences (of a confirmed family), n_unknown,
+    a null or empty text is one empty line), n_licences (of a confirmed family; a wrapped one counts once), n_unknown,
     families (distinct, ascending) and score (the greatest probability of a confirmed one, else
     0). Repeated rows get the same result; an empty table gives no rows."""
     row = F.struct(*[F.col(c) for c in (docs.columns if carry is None else carry)])

@@ -6,6 +6,7 @@ import hashlib
 import io
 import math
 import random
+import textwrap
 
 import brute
 import numpy as np
@@ -140,6 +141,21 @@ def test_licences(spark):
     licences.train(brute.frame(spark, [(1, None)]))  # nothing to learn plain text from
 
 
+def test_wrapped_and_other_licences_are_not_lost(spark):
+    corpus = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet").select("doc_id", "text")
+    model = licences.train(corpus.union(brute.frame(spark, [(-1, "All rights reserved."), (-2, "Copyright 1999 Foo Inc. All rights reserved.")]).select("doc_id", "text")), train_docs=10**6)
+    docs = [(k, "Some prose first.\n\n" + textwrap.fill(notices[-1], 60) + "\n\nAnd more.") for k, (_, notices) in enumerate(sorted(licences.TEMPLATES.items()))]
+    n = len(docs)
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files."
+    docs += [(n, mit), (n + 1, "All rights reserved."), (n + 2, "The road was long.\nIt rained."), (n + 3, mit.replace("\n", "\n\n"))]
+    got = {r["row"]["doc_id"]: r for r in licences.scan(brute.frame(spark, docs), model).collect()}
+    for k, family in enumerate(sorted(licences.TEMPLATES)):
+        assert (got[k]["families"], got[k]["n_licences"], got[k]["n_unknown"]) == ([family], 1, 0), (family, got[k])
+    assert (got[n]["families"], got[n]["n_unknown"]) == (["mit"], 0)
+    assert (got[n + 1]["n_licences"], got[n + 1]["n_unknown"]) == (0, 1)
+    assert (got[n + 2]["n_licences"], got[n + 2]["n_unknown"]) == (0, 0)
+
+
 # Tokens --------------------------------------------------------------------------------------
 
 
