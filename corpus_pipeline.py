@@ -14,16 +14,15 @@ from pyspark.sql import functions as F
 from shelfmetrics.llm import bpe, decontaminate, language, line_dedup, ngram_join
 from shelfmetrics.llm.common import table, written
 
-#: Below this posterior probability of its best language a document is rejected.
-MIN_LANGUAGE_SCORE = 0.5
 NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents that have no letter, or no language that is likely enough."""
-    found = language.predict(docs, language.train(docs))
-    sure = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return found.where(sure).select("row.*")
+    """Reject documents that have no letter; all stay where no language could be learned."""
+    model = language.train(docs)
+    if not model.languages:
+        return docs
+    return language.predict(docs, model).where(F.col("lang_pred") != language.UNDETERMINED).select("row.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +36,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one of least id stays, in one row. Documents of no
-    words, or without an id, are in no group and stay."""
+    """Of each group of linked documents the one of least id stays; rows of equal id and text
+    are one. Documents of no words, or without an id, are in no group and stay."""
     done = ngram_join.join_similar(docs, size=NEAR_SHINGLE, percent=NEAR_PERCENT)
     done = written(done, "linked")
     stays = F.col("component_id").isNull() | (F.col("component_id") == F.col("row.doc_id"))
@@ -51,7 +50,7 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
         repeated.withColumn("_repeated", F.lit(True)), "doc_id", "left"
     )
     again = F.coalesce("_repeated", F.lit(False)) & (F.col("_n") > 0)
-    once = rows.where(again).drop("_n", "_repeated").dropDuplicates(["doc_id"])
+    once = rows.where(again).drop("_n", "_repeated").dropDuplicates(["doc_id", "text"])
     return rows.where(~again).select(docs.columns).unionByName(once.select(docs.columns))
 
 

@@ -52,3 +52,17 @@ def test_stages_on_hard_rows(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_clean_rows_stay(spark):
+    rows = [
+        (7, "the garden behind the old house was green in spring"),
+        (7, "prices of copper fell again on monday after a long week"),
+        (7, "prices of copper fell again on monday after a long week"),
+    ]
+    docs = spark.createDataFrame(
+        [(i, t, None, "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    assert corpus_pipeline.identify_language(spark, docs, SF).count() == 3
+    kept = corpus_pipeline.keep_one_of_similar(spark, docs, SF).collect()
+    assert sorted(r.text for r in kept) == sorted({t for _, t in rows})
