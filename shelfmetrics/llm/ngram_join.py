@@ -13,7 +13,8 @@ Documents of equal shingle sets form a class; classes, each by its least id, are
    its own) is compared with the others: a star, not all pairs. Components follow.
 4. Members of a bucket that are in different components still are compared as pairs where
    they could reach the threshold: where bounds on what they share leave room for it, from 1
-   and from counts of their shingles by how common these are. No link between classes is lost.
+   and from counts of their shingles by how common these are. No link between components is
+   lost; links within a component are not looked for.
 
 Comparisons are exact, on the texts. Shingles are known by 64-bit hashes.
 """
