@@ -1,14 +1,14 @@
-"""What several operators share: the cluster's scratch folder, written tables, row keys."""
+"""What several operators share: written tables, row keys, texts as words."""
 
 from __future__ import annotations
 
-import gc
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmetrics.scratch import discard, new_path, shared_dir, written
+
+__all__ = ["discard", "new_path", "shared_dir", "written"]
+
 #: Characters that separate words and are stripped from lines: [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -16,43 +16,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_ID = (1 << 63) - 1
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; one of our own only where the session names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="scratch-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def written(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
-    """The rows of df as a table in the shared folder: cuts lineage and outlives executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.partitionBy(*(by or [])).parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._scratch = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete tables that written() made, once nothing reads them any more, and let go of the
-    shuffle files of what has been computed: Spark removes these when the driver's garbage is
-    collected."""
-    spark = tables[0].sparkSession
-    jvm = spark.sparkContext._jvm
-    for df in tables:
-        path = jvm.org.apache.hadoop.fs.Path(df._scratch)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    jvm.System.gc()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

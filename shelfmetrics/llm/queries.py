@@ -13,7 +13,10 @@ from shelfmetrics.llm import (
     language,
     licences,
     line_dedup,
+    merkle,
+    neighbours,
     ngram_join,
+    resampling,
     substring_dedup,
     suffix_dedup,
     warc,
@@ -63,6 +66,18 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(table(spark, sf_dir, "documents"))
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_line_dedup,
@@ -75,6 +90,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_byte_level_bpe,
         op9_language_id,
         op10_benchmark_decontamination,
+        op11_merkle_manifest,
+        op12_nearest_neighbours,
+        op13_importance_resampling,
     )}
 
 
@@ -86,4 +104,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_suffix_array_dedup": suffix_dedup.ORACLE_SQL,
         "op6_ngram_jaccard_join": ngram_join.ORACLE_SQL,
         "op10_benchmark_decontamination": decontaminate.ORACLE_SQL,
+        "op11_merkle_manifest": merkle.ORACLE_SQL,
+        "op13_importance_resampling": resampling.ORACLE_SQL,
     }
