@@ -172,10 +172,6 @@ FROM (SELECT product_id, product_name, sku, {whole("quantity")} AS total_qty,
       FROM order_lines WHERE {MARCH} GROUP BY ALL)
 ORDER BY total_revenue DESC, product_id, product_name, sku LIMIT 20"""
 
-DAILY_TOP = f"""{with_(ORDER_LINES)}
-SELECT DISTINCT product_id, product_name, sku FROM order_lines
-WHERE {day_window("2001-03-15", "2001-03-15")} LIMIT 10"""
-
 # Inventory --------------------------------------------------------------------
 
 
@@ -467,16 +463,6 @@ def profile_sql() -> str:
     return "\nUNION ALL ".join(parts)
 
 
-# Bundles: rows per tab ----------------------------------------------------------
-
-
-def tab_counts(tabs: dict[str, str]) -> str:
-    return "\nUNION ALL ".join(
-        f"SELECT '{tab}' AS tab, count(*) AS row_count FROM {source}"
-        for tab, source in tabs.items()
-    )
-
-
 # Bundles: cells ------------------------------------------------------------------
 
 
@@ -630,8 +616,121 @@ def bundle_cells() -> dict[str, str]:
     return {name: "\nUNION ALL ".join(parts) for name, parts in tabs.items()}
 
 
+# Positions, publications, sources ---------------------------------------------------
+
+
+def ranked(source: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM {source}"
+
+
+MONTH_TABS = {
+    "summary": ("요약", f"({KPIS})"),
+    "monthly_sales": ("매출요약", f"({MONTH_DETAIL})"),
+    "monthly_total": ("매출요약", f"({MONTH_SUMMARY})"),
+    "top_sellers": ("베스트셀러", f"({TOP})"),
+    "stock_status": ("재고현황", f"({with_(ORDER_LINES, STATUS)} SELECT * FROM status)"),
+    "ad_performance": (
+        "광고성과", f"({with_(AD_FACTS, campaigns('2024-01-01', '2024-01-31'))} SELECT * FROM campaigns)"
+    ),
+}
+STAMP = (
+    "SELECT 'stamp' AS tab, '[\"' || tab || '\"]' AS row_key, c.header AS header, c.text AS text, "
+    "NULL::DOUBLE AS number FROM (SELECT tab, unnest([{'header': 'report', 'text': 'monthly_business'}, "
+    "{'header': 'generated_at', 'text': '2001-08-01 09:00:00'}, "
+    "{'header': 'period', 'text': '2001-03-01 ~ 2001-03-31'}, {'header': 'title', 'text': title}, "
+    "{'header': 'rows', 'text': n::VARCHAR}]) AS c FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{tab}' AS tab, '{title}' AS title, count(*) AS n FROM {source}"
+        for tab, (title, source) in MONTH_TABS.items()
+    )
+    + "))"
+)
+
+ACTIVE = f"""{with_(ORDER_LINES, STOCK)}
+SELECT sku, count(DISTINCT d) FILTER (d >= DATE '2001-07-24') AS active_days_7d,
+       count(DISTINCT d) FILTER (d >= DATE '2001-07-17') AS active_days_14d,
+       count(DISTINCT d) FILTER (d >= DATE '2001-07-01') AS active_days_30d,
+       count(DISTINCT d) AS active_days_60d
+FROM (SELECT sku, CAST(order_date AS DATE) AS d FROM order_lines
+      WHERE {day_window("2001-06-01", "2001-07-31")} AND sku IN (SELECT sku FROM stock))
+GROUP BY sku HAVING max(d) >= DATE '2001-07-24'"""
+
+SHEET = """WITH f AS (SELECT *, (conv_id * 7 + turn) % 11 AS fault FROM conversations)
+SELECT '' AS reason, 1::BIGINT AS n, conv_id, turn, role, text FROM f WHERE fault > 3
+UNION ALL
+SELECT ['too many cells', 'too few cells', 'turn: not a bigint', 'conv_id: missing'][fault + 1], count(*),
+       NULL, NULL, NULL, NULL
+FROM f WHERE fault <= 3 GROUP BY fault"""
+
+WEEKEND_ROAS = (
+    with_(AD_FACTS.replace("FROM events)", "FROM events WHERE isodow(ts) >= 6)"), campaigns(*ALL_DAYS))
+    + "SELECT * FROM campaigns"
+)
+
+
+STOCK_DAYS = f"""{with_(ORDER_LINES, STOCK)},
+days AS (SELECT CAST(unnest(generate_series(DATE '2001-07-02', DATE '2001-07-31', INTERVAL 1 DAY)) AS DATE) AS as_of),
+by_day AS (SELECT sku, CAST(order_date AS DATE) AS d, sum(quantity) AS q FROM order_lines
+           WHERE {day_window("2001-06-02", "2001-07-31")} GROUP BY ALL),
+mean AS (SELECT as_of, sku, avg(q) AS m FROM by_day JOIN days ON d BETWEEN as_of - 30 AND as_of GROUP BY ALL)
+SELECT as_of, sku, product_name, warehouse, current_stock, {half_away("m", 1)} AS avg_daily_sales,
+       {half_away("days_left")} AS days_of_stock,
+       {passed("days_left", "<", ["7", "14", "30"], ["🔴 긴급", "🟡 주의", "🟢 양호", "⚪ 저회전"])} AS status
+FROM (SELECT days.as_of, stock.*, m, CASE WHEN m > 0 THEN current_stock / m END AS days_left
+      FROM stock CROSS JOIN days LEFT JOIN mean ON mean.sku = stock.sku AND mean.as_of = days.as_of)"""
+
+QUANTILES = f"""{with_(ORDER_LINES)},
+l AS (SELECT channel, CAST(order_date AS DATE) AS d, unit_price AS v FROM order_lines
+      WHERE {day_window("2001-03-01", "2001-05-31")} AND unit_price IS NOT NULL),
+p AS (SELECT *, row_number() OVER (PARTITION BY d, channel ORDER BY v) AS r,
+             (count(*) OVER (PARTITION BY d, channel) + 3) // 4 AS run FROM l),
+s AS (SELECT channel, d, run, max(v) AS v, count(*) AS held FROM p GROUP BY channel, d, run, (r - 1) // run),
+z AS (SELECT channel, CAST(sum(held) AS BIGINT) AS n FROM s GROUP BY channel),
+b AS (SELECT channel, CAST(sum(run) AS BIGINT) AS bound
+      FROM (SELECT DISTINCT channel, d, run FROM s) GROUP BY channel),
+c AS (SELECT channel, v, held, sum(held) OVER (PARTITION BY channel ORDER BY v) AS high
+      FROM (SELECT channel, v, sum(held) AS held FROM s GROUP BY ALL)),
+a AS (SELECT unnest(range(0, 101, 5)) AS percentile),
+q AS (SELECT channel, percentile, n, v, bound, greatest(1, (percentile * n + 99) // 100) AS rank, high, held
+      FROM c JOIN z USING (channel) JOIN b USING (channel), a),
+t AS (SELECT channel, v, min(i) AS low, max(i) AS top
+      FROM (SELECT channel, v, row_number() OVER (PARTITION BY channel ORDER BY v) AS i FROM l) GROUP BY ALL)
+SELECT channel, CAST(percentile AS INT) AS percentile, n, v AS value, bound,
+       CAST(greatest(low - rank, rank - top, 0) AS BIGINT) AS rank_error
+FROM q JOIN t USING (channel, v) WHERE rank <= high AND rank > high - held"""
+
+EVENT_PROFILE = "\nUNION ALL ".join(
+    f"SELECT 'events' AS table_name, count(*) AS row_count, CAST(6 AS BIGINT) AS column_count, "
+    f"'{name}' AS column_name, '{kind}' AS type, '{mode}' AS mode, {nulls} AS null_count, "
+    f"{nulls if mode == 'REQUIRED' else 'CAST(0 AS BIGINT)'} AS required_violations FROM events"
+    for name, kind, mode, nulls in [
+        ("event_id", "INTEGER", "REQUIRED", "count(*) - count(event_id)"),
+        ("ts", "DATETIME", "REQUIRED", "count(*) - count(ts)"),
+        ("user_id", "INTEGER", "NULLABLE", "count(*) - count(user_id)"),
+        ("event_type", "STRING", "NULLABLE", "count(*) - count(event_type)"),
+        ("value", "FLOAT", "NULLABLE", "count(*) - count(value)"),
+        ("props", "RECORD", "NULLABLE", "count(*) - count(props)"),
+        ("props.k", "INTEGER", "NULLABLE", "count(props) - count(json_extract(props, '$.k'))"),
+    ]
+)
+
+SUMMARY_SHEET = f"""WITH kpis AS ({KPIS})
+SELECT CASE WHEN position <= 4 THEN position + 4 ELSE position + 6 END AS position, item, value FROM kpis
+UNION ALL SELECT 1, '월간 비즈니스 리포트', '2001-03'
+UNION ALL SELECT 2, '최종 업데이트', '2001-08-01 09:00:00'
+UNION ALL SELECT 3, '', NULL
+UNION ALL SELECT 4, '항목', '값'
+UNION ALL SELECT 9, '', NULL
+UNION ALL SELECT 10, '재고 현황', NULL
+UNION ALL SELECT 13, '', NULL
+UNION ALL SELECT 14, '시트별 상세', NULL
+UNION ALL SELECT 15, '매출요약', '채널별/카테고리별 YoY 비교'
+UNION ALL SELECT 16, '베스트셀러', 'TOP 20 상품 매출순'
+UNION ALL SELECT 17, '재고현황', '전 SKU 재고 소진 예측'
+UNION ALL SELECT 18, '광고성과', '캠페인별 ROAS 분석'"""
+
+
 def statements() -> dict[str, str]:
-    ads = with_(AD_FACTS, campaigns(*WEEK), keywords(*WEEK))
     return {
         "daily_sales_summary": DAILY,
         "weekly_trend": WEEKLY,
@@ -662,37 +761,29 @@ def statements() -> dict[str, str]:
         "monthly_kpi_dashboard": KPIS,
         "reviewer_funding_costs": FUNDING,
         "table_profile": profile_sql(),
-        "daily_sales_report": tab_counts(
-            {"daily_sales": f"({DAILY})", "top_sellers": f"({DAILY_TOP})"},
-        ),
-        "weekly_inventory_alert": tab_counts(
-            {"summary": f"({ALERTS})", "urgent_skus": f"({URGENT})"}
-        ),
-        "monthly_business_report": tab_counts(
-            {
-                "summary": f"({KPIS})",
-                "monthly_sales": f"({MONTH_DETAIL})",
-                "monthly_total": f"({MONTH_SUMMARY})",
-                "top_sellers": f"({TOP})",
-                "stock_status": f"({with_(ORDER_LINES, STATUS)} SELECT * FROM status)",
-                "ad_performance": f"({with_(AD_FACTS, campaigns('2001-03-01', '2001-03-31'))}"
-                " SELECT * FROM campaigns)",
-            },
+        **bundle_cells(),
+        **{name.removesuffix("_cells"): sql for name, sql in bundle_cells().items()},
+        "stock_status_ranked": with_(ORDER_LINES, STATUS)
+        + ranked("status", "days_of_stock NULLS LAST, sku, warehouse"),
+        "reorder_alert_ranked": ranked(
+            f"({REORDER})",
+            "list_position(['🔴 긴급발주', '🟡 발주필요', '🟢 발주임박', '⚪ 여유'], alert_level), "
+            "days_of_stock, sku, warehouse",
         ),
-        "ad_roas_report": tab_counts(
-            {
-                "campaigns": f"({ads} SELECT * FROM campaigns)",
-                "deficit_campaigns": f"({ads} SELECT * FROM campaigns WHERE roas < 1)",
-                "spend_efficiency": f"({SPEND}) WHERE report_date BETWEEN DATE '2024-01-05' "
-                "AND DATE '2024-01-12'",
-                "keywords": f"({ads} SELECT * FROM keywords)",
-                "stop_review_keywords": f"({ads} SELECT * FROM keywords"
-                " WHERE keyword_grade LIKE '%중단%')",
-                "weekly_trend": f"({with_(AD_FACTS)} SELECT DISTINCT date_trunc('week', ts)"
-                " FROM ad_facts WHERE CAST(ts AS DATE)"
-                " BETWEEN DATE '2023-12-15' AND DATE '2024-01-12')",
-                "summary": f"({OVERALL})",
-            },
+        "price_competitiveness_ranked": ranked(
+            f"({COMPETITION})",
+            "category, price_percentile DESC NULLS LAST, channel, sku, product_name",
         ),
-        **bundle_cells(),
+        "published_monthly_report": bundle_cells()["monthly_business_report_cells"] + "\nUNION ALL " + STAMP,
+        "active_days": ACTIVE,
+        "exported_parts_json": "SELECT * FROM part",
+        "exported_parts_csv": "SELECT * FROM part",
+        "exported_conversations_json": "SELECT * FROM conversations",
+        "exported_conversations_csv": "SELECT * FROM conversations",
+        "conversations_sheet": SHEET,
+        "weekend_roas": WEEKEND_ROAS,
+        "stock_status_daily": STOCK_DAYS,
+        "price_quantiles_of_days": QUANTILES,
+        "event_profile": EVENT_PROFILE,
+        "monthly_summary_sheet": SUMMARY_SHEET,
     }

@@ -159,8 +159,8 @@ def ad_overall_summary(campaigns: DataFrame, keywords: DataFrame) -> DataFrame:
     """One row over the campaign and keyword reports; overall ROAS is 0 without spend."""
 
     def total(column: str):
-        # the declared money type has eight decimals
-        exact = F.sum(F.col(column).cast("decimal(38,8)")).cast("double")
+        # the declared money type has eight decimals; NaN and infinity are no money
+        exact = F.try_sum(F.col(column).try_cast("decimal(38,8)")).cast("double")
         return F.coalesce(exact, F.lit(0.0))
 
     to_stop = keywords.agg(

@@ -16,6 +16,17 @@ ITEM_CRITICAL = "긴급 SKU"
 ITEM_WARNING = "주의 SKU"
 NOT_AVAILABLE = "N/A"
 
+# The other texts of the printed summary, in the order they are printed.
+PRINT_TITLE, PRINT_UPDATED = "월간 비즈니스 리포트", "최종 업데이트"
+PRINT_HEADER = ("항목", "값")
+PRINT_STOCK, PRINT_SHEETS = "재고 현황", "시트별 상세"
+PRINT_SHEET_LINES = [
+    ("매출요약", "채널별/카테고리별 YoY 비교"),
+    ("베스트셀러", "TOP 20 상품 매출순"),
+    ("재고현황", "전 SKU 재고 소진 예측"),
+    ("광고성과", "캠페인별 ROAS 분석"),
+]
+
 
 def plain_number(value: Decimal | int | float) -> str:
     """A number without exponent or trailing zeros."""
@@ -49,3 +60,24 @@ def monthly_kpi_dashboard(
         for i, (item, value) in enumerate(items, start=1)
     ]
     return summary.select(F.inline(F.array(*rows)))
+
+
+def printed_summary(kpis: DataFrame, month: str, updated: str) -> DataFrame:
+    """The summary tab line by line, as (position, item, value): title and month, time of update,
+    the dashboard's items under their headings, and a line for each other tab. Blank lines are
+    empty, headings have no value."""
+    money, stock = 4, 2  # items above and below the stock heading
+    lines: list[tuple[str, str | None] | int] = [
+        (PRINT_TITLE, month), (PRINT_UPDATED, updated), ("", None), PRINT_HEADER, money,
+        ("", None), (PRINT_STOCK, None), stock, ("", None), (PRINT_SHEETS, None), *PRINT_SHEET_LINES,
+    ]
+    fixed, place, item, at = [], F.lit(None).cast("int"), 0, 0
+    for line in lines:
+        if isinstance(line, int):
+            place = F.when(F.col("position").between(item + 1, item + line), F.col("position") + (at - item)).otherwise(place)
+            item, at = item + line, at + line
+        else:
+            at += 1
+            fixed.append((at, *line))
+    texts = kpis.sparkSession.createDataFrame(fixed, "position int, item string, value string")
+    return kpis.select(place.alias("position"), "item", "value").unionByName(texts).orderBy("position")

@@ -8,10 +8,13 @@ one row per day.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import timedelta
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmetrics.functions.days import Day, as_date, days_before, trailing_days
+from shelfmetrics.functions.daysets import days_within, merged
 from shelfmetrics.functions.labels import (
     DELIVERY_IMMEDIATE,
     DELIVERY_RISK,
@@ -28,6 +31,7 @@ from shelfmetrics.functions.labels import (
 from shelfmetrics.functions.metrics import change_pct, exact_stddev, pct, round_half_away, safe_div
 
 SERVICE_FACTOR = 1.65  # 95 % service level
+ACTIVE_WINDOWS = (7, 14, 30, 60)  # days of the depletion forecast
 LAST_DAY = 2_900_000  # days; dates go to the year 9999
 ROCKET = "coupang_rocket"  # fixed value: the fulfilment channel and its warehouse
 
@@ -46,20 +50,69 @@ def _mean_when(condition: Column) -> Column:
     return F.avg(F.when(condition, F.col("daily_qty")))
 
 
+def stock_order() -> list[Column]:
+    """The order of the stock report: soonest out of stock first, without an end last."""
+    return [F.asc_nulls_last("days_of_stock"), F.col("sku"), F.col("warehouse")]
+
+
 def stock_status(
     inventory: DataFrame, orders: DataFrame, as_of: Day, window_days: int = 30
 ) -> DataFrame:
     """Every stock row with mean daily sales, days of stock and a four-step status."""
+    return stock_rows(inventory, orders, as_of, window_days).orderBy(*stock_order())
+
+
+def stock_rows(
+    inventory: DataFrame, orders: DataFrame, as_of: Day, window_days: int = 30
+) -> DataFrame:
+    """The stock report without its order."""
     demand = (
         daily_demand(orders, as_of, window_days)
         .groupBy("sku")
         .agg(F.avg("daily_qty").alias("mean_qty"))
     )
+    return _stock_days(inventory.join(demand, "sku", "left"))
+
+
+def stock_status_daily(
+    inventory: DataFrame, orders: DataFrame, first: Day, last: Day, window_days: int = 30
+) -> DataFrame:
+    """The stock report as of every day of a range, for today's stock: ``as_of`` and its columns.
+
+    One scan serves all days. A day's sales enter the window on that day and leave it after its
+    last one; sums of what enters and leaves, day by day, are the window's sums on each day. So a
+    sale is two rows, however long the window and the range are.
+    """
+    first, last = as_date(first), as_date(last)
+    sold = daily_demand(orders, last, (last - first).days + window_days).where("daily_qty is not null")
+    left = F.date_add("sale_date", window_days + 1)
+    moves = sold.select("sku", F.inline(F.array(
+        F.struct(F.col("sale_date").alias("day"), F.col("daily_qty").alias("qty"), F.lit(1).alias("days")),
+        F.struct(left.alias("day"), (-F.col("daily_qty")).alias("qty"), F.lit(-1).alias("days")),
+    )))
+    days = F.sequence(F.lit(first), F.lit(last))
+    asked = inventory.select("sku").distinct().select("sku", F.explode(days).alias("day"))
+    # what moved before the range is one row a SKU, and none of it comes after the range
+    start = F.greatest(F.col("day"), F.lit(first))
+    moved = moves.where(F.col("day") <= F.lit(last)).groupBy("sku", start.alias("day")).agg(
+        F.sum("qty").alias("qty"), F.sum("days").alias("days")
+    )
+    so_far = Window.partitionBy("sku").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    sums = asked.join(moved, ["sku", "day"], "left").select(
+        "sku", F.col("day").alias("as_of"),
+        F.coalesce(F.sum("qty").over(so_far), F.lit(0)).alias("qty"),
+        F.coalesce(F.sum("days").over(so_far), F.lit(0)).alias("sale_days"),
+    )
+    means = sums.select("sku", "as_of", safe_div("qty", "sale_days").alias("mean_qty"))
+    return _stock_days(inventory.join(means, "sku"), "as_of")
+
+
+def _stock_days(stock: DataFrame, *more: str) -> DataFrame:
     days = F.when(F.col("mean_qty") > 0, safe_div("current_stock", "mean_qty"))
     return (
-        inventory.join(demand, "sku", "left")
-        .withColumn("days", days)
+        stock.withColumn("days", days)
         .select(
+            *more,
             "sku",
             "product_name",
             "warehouse",
@@ -68,7 +121,6 @@ def stock_status(
             round_half_away("days").alias("days_of_stock"),
             grade(F.col("days"), STOCK_STATUS).alias("status"),
         )
-        .orderBy(F.asc_nulls_last("days_of_stock"), "sku", "warehouse")
     )
 
 
@@ -126,10 +178,24 @@ def depletion_forecast(inventory: DataFrame, orders: DataFrame, as_of: Day) -> D
     )
 
 
+def reorder_order() -> list[Column]:
+    """The order of the reorder report: by level, then by days of stock."""
+    level = F.col("alert_level")
+    urgency = F.when(level == REORDER_URGENT, 1).when(level == REORDER_DUE, 2).otherwise(3)
+    return [urgency.asc(), F.col("days_of_stock"), F.col("sku"), F.col("warehouse")]
+
+
 def reorder_alert(
     inventory: DataFrame, orders: DataFrame, as_of: Day, lead_time: int = 7
 ) -> DataFrame:
-    """Stock rows at or below 1.2 times their reorder point, most urgent first.
+    """Stock rows at or below 1.2 times their reorder point, most urgent first."""
+    return reorder_rows(inventory, orders, as_of, lead_time).orderBy(*reorder_order())
+
+
+def reorder_rows(
+    inventory: DataFrame, orders: DataFrame, as_of: Day, lead_time: int = 7
+) -> DataFrame:
+    """The reorder report without its order.
 
     Quantities are computed from the unrounded mean and deviation; the order
     quantity, the days left and the level then use the rounded columns.
@@ -158,18 +224,18 @@ def reorder_alert(
         round_half_away(expected + buffer).alias("reorder_point"),
         round_half_away(safe_div("current_stock", "mean_qty")).alias("days_of_stock"),
     )
-    return order_plan(planned)
+    return order_rows(planned)
 
 
 def order_plan(planned: DataFrame) -> DataFrame:
+    """Order quantity, days until reorder and alert level, in the order of the report."""
+    return order_rows(planned).orderBy(*reorder_order())
+
+
+def order_rows(planned: DataFrame) -> DataFrame:
     """Order quantity, days until reorder and alert level from the rounded plan columns."""
     stock, reorder_point = F.col("current_stock"), F.col("reorder_point")
     level = reorder_alert_level(stock, F.col("safety_stock"), reorder_point)
-    urgency = (
-        F.when(F.col("alert_level") == REORDER_URGENT, 1)
-        .when(F.col("alert_level") == REORDER_DUE, 2)
-        .otherwise(3)
-    )
     return (
         planned.where(stock <= reorder_point * 1.2)
         .withColumn("order_quantity", F.greatest(reorder_point - stock, F.lit(0.0)))
@@ -177,7 +243,6 @@ def order_plan(planned: DataFrame) -> DataFrame:
             "days_until_reorder", round_half_away(safe_div(stock - reorder_point, "avg_daily_sales"))
         )
         .withColumn("alert_level", level)
-        .orderBy(urgency, "days_of_stock", "sku", "warehouse")
     )
 
 
@@ -221,6 +286,28 @@ def rocket_delivery_risk(
     )
 
 
+def active_days(
+    inventory: DataFrame, sets: DataFrame, as_of: Day, windows: tuple[int, ...] = ACTIVE_WINDOWS
+) -> DataFrame:
+    """Days with sales in each trailing window, for the SKUs whose depletion is forecast: those in
+    stock that sold within the last seven days.
+
+    ``sets`` are sets of sale days per SKU (see ``functions.daysets``), of any further keys: rows of
+    one SKU are merged before days are counted.
+    """
+    sold = merged(sets, ["sku"])
+    counts = [
+        F.sum(days_within(as_date(as_of) - timedelta(days=n), as_of)).alias(f"active_days_{n}d")
+        for n in windows
+    ]
+    per_sku = sold.groupBy("sku").agg(*counts, F.sum(days_within(as_date(as_of) - timedelta(days=7), as_of)).alias("_recent"))
+    return (
+        per_sku.where(F.col("_recent") > 0).drop("_recent")
+        .join(inventory.select("sku"), "sku", "left_semi")
+        .orderBy("sku")
+    )
+
+
 def stock_status_counts(status: DataFrame) -> DataFrame:
     """How many stock rows are critical and how many need attention."""
     return status.agg(

@@ -7,7 +7,7 @@ and the order lines are scanned once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmetrics.functions.days import Day, in_days
@@ -20,12 +20,10 @@ from shelfmetrics.functions.metrics import (
     safe_div,
     steady_avg,
 )
+from shelfmetrics.functions.positions import with_position
 
 _PRODUCT = ["sku", "product_name", "category", "channel"]
 _SHELF = ["category", "channel"]
-#: Prices of a shelf that are drawn, by their hash, to cut it into buckets; one in so many is a cut.
-_DRAWN, _CUT_EVERY = 2_000, 16
-_HASHES = 1 << 30
 
 
 def gpm_analysis(orders: DataFrame, start: Day, end: Day, min_qty: int = 10) -> DataFrame:
@@ -94,56 +92,18 @@ def category_price_stats(
 
 
 def _shelf_quantiles(base: DataFrame) -> DataFrame:
-    """Exact quantiles per shelf, ranked over buckets of prices, so that no task holds a shelf.
-
-    Cuts between buckets come from prices drawn by their hash: they only depend on the rows, not on
-    how these are dealt. A shelf is a struct, which also matches where a part of it is NULL.
-    """
-    prices = (
-        base.where(F.col("mean_price").isNotNull())
-        .select(F.struct(*_SHELF).alias("_shelf"), F.col("mean_price").alias("_price"))
-        .groupBy("_shelf", "_price")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    sizes = prices.groupBy("_shelf").agg(
-        F.sum("_n").alias("_size"), F.count(F.lit(1)).alias("_prices")
-    )
-    draw = F.pmod(F.xxhash64("_shelf", "_price"), F.lit(_HASHES))
-    drawn = join_stats(prices, sizes, ["_shelf"], ["_price"]).where(
-        draw * F.col("_prices") < _HASHES * _DRAWN
-    )
-    cuts = drawn.groupBy("_shelf").agg(
-        F.filter(
-            F.sort_array(F.collect_list("_price")), lambda _, i: i % _CUT_EVERY == _CUT_EVERY - 1
-        ).alias("_cuts")
-    )
-    shelves = sizes.join(cuts, "_shelf", "left").drop("_prices")
-    below = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col("_price"))), F.lit(0))
-    placed = (
-        join_stats(prices, shelves, ["_shelf"], ["_price"])
-        .withColumn("_bucket", F.when(F.col("_cuts").isNull(), 0).otherwise(below))
-        .drop("_cuts")
-    )
-    earlier = Window.partitionBy("_shelf").orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        placed.groupBy("_shelf", "_bucket")
-        .agg(F.sum("_n").alias("_held"))
-        .withColumn("_before", F.coalesce(F.sum("_held").over(earlier), F.lit(0)))
-        .drop("_held")
-    )
-    within = Window.partitionBy("_shelf", "_bucket").orderBy("_price").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    # A price has the ranks from _low + 1 to _high, and with them the quantiles _first to _last.
+    """Exact quantiles per shelf. Prices are numbered over ranges, so no task holds a shelf; the
+    price in place p of n has the quantiles i with ceil(i / 100 * n) = p. A shelf is a struct, which
+    also matches where a part of it is NULL."""
+    prices = base.where(F.col("mean_price").isNotNull()).select(*_SHELF, F.col("mean_price").alias("_price"))
+    placed = with_position(prices, [F.col("_price")], _SHELF, "_place", "_size")
     return (
-        placed.withColumn("_up_to", F.sum("_n").over(within))
-        .join(offsets, ["_shelf", "_bucket"])
-        .withColumn("_high", F.col("_before") + F.col("_up_to"))
-        .withColumn("_low", F.col("_high") - F.col("_n"))
-        .withColumn("_first", F.expr("if(_low = 0, 0, _low * 100 div _size + 1)"))
-        .withColumn("_last", F.expr("_high * 100 div _size"))
+        placed.select(
+            F.struct(*_SHELF).alias("_shelf"),
+            "_price",
+            F.expr("if(_place = 1, 0, (_place - 1) * 100 div _size + 1)").alias("_first"),
+            F.expr("_place * 100 div _size").alias("_last"),
+        )
         .where("_first <= _last")
         .groupBy("_shelf")
         .agg(F.sort_array(F.collect_list(F.struct("_first", "_last", "_price"))).alias("_steps"))
@@ -190,10 +150,22 @@ def price_bands(
     )
 
 
+def price_order() -> list[Column]:
+    """The order of the price report: by category, dearest first."""
+    return [F.col("category"), F.desc("price_percentile"), *map(F.col, ("channel", "sku", "product_name"))]
+
+
 def price_competitiveness(
     orders: DataFrame, start: Day, end: Day, base: DataFrame | None = None, min_qty: int = 5
 ) -> DataFrame:
-    """Price index, position, tier and verdict per product within its category and channel.
+    """Price index, position, tier and verdict per product within its category and channel."""
+    return price_rows(orders, start, end, base, min_qty).orderBy(*price_order())
+
+
+def price_rows(
+    orders: DataFrame, start: Day, end: Day, base: DataFrame | None = None, min_qty: int = 5
+) -> DataFrame:
+    """The price report without its order.
 
     Products under ``min_qty`` count towards the category statistics and are left
     out only afterwards.
@@ -220,5 +192,4 @@ def price_competitiveness(
             pct(price, highest).alias("pct_of_max_price"),
             F.col("sku_count").alias("category_sku_count"),
         )
-        .orderBy("category", F.desc("price_percentile"), "channel", "sku", "product_name")
     )

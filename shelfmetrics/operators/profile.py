@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -96,3 +97,38 @@ def table_profile(df: DataFrame, table: str, schema: T.StructType | None = None)
         F.lit(len(schema.fields)).cast("bigint").alias("column_count"),
         F.inline(F.array(*lines)),
     )
+
+
+def typed_documents(df: DataFrame, columns: list[str]) -> DataFrame:
+    """df with JSON text columns as records of the fields that are found in them.
+
+    One pass merges the schemas of all values; what is of different kinds in different rows stays
+    JSON, what is null everywhere is text. A text that is no JSON is missing. The schema has a
+    field for each distinct path, so columns are meant that hold records, not maps with keys from
+    the data.
+    """
+    parsed = df.withColumns({c: F.try_parse_json(F.col(f"`{c}`")) for c in columns})
+    found = parsed.agg(*[F.schema_of_variant_agg(F.col(f"`{c}`")).alias(c) for c in columns]).first()
+    kinds = {c: _record_type(found[c]) for c in columns}
+    return parsed.withColumns({
+        c: F.col(f"`{c}`") if kind == "VARIANT" else F.try_variant_get(F.col(f"`{c}`"), "$", kind)
+        for c, kind in kinds.items()
+    })
+
+
+def _record_type(found: str) -> str:
+    """The type a variant schema stands for."""
+    words = re.split(r"(`(?:[^`]|``)*`|\w+)", found)
+    return "".join({"OBJECT": "STRUCT", "VOID": "STRING"}.get(w, w) for w in words)
+
+
+def document_profile(
+    df: DataFrame, table: str, columns: list[str], required: Iterable[str] = ()
+) -> DataFrame:
+    """The table's profile with the paths inside its JSON columns as dotted rows.
+
+    ``required`` names REQUIRED columns of the table.
+    """
+    typed, required = typed_documents(df, columns), set(required)
+    declared = [T.StructField(f.name, f.dataType, f.name not in required) for f in typed.schema]
+    return table_profile(typed, table, T.StructType(declared))

@@ -4,7 +4,8 @@ A bundle is a set of lazy tabs. What several tabs read (the monthly cells, the
 stock status, the campaign and keyword reports) is persisted to memory with spill
 to disk, so that it is computed once; lost blocks are recomputed from the source.
 Use a bundle as a context manager to release that storage after writing, or build it
-with ``share=False``, which persists nothing.
+with ``share=False``, which persists nothing. With ``one_pass`` the facts are read once, when the
+bundle is built, into a base that all tabs then read (see ``bases``).
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 
 from shelfmetrics.functions.days import Day, as_date, month_days
 from shelfmetrics.operators import advertising, dashboard, inventory, sales
+from shelfmetrics.plans import bases
 
 DEFAULT_TARGET = 500_000_000  # fixed value
 
@@ -124,8 +126,10 @@ _CAMPAIGN_KEY = ["campaign_id", "campaign_name", "platform"]
 _KEYWORD_KEY = ["keyword", "match_type", "campaign_name", "platform"]
 
 
-def daily_sales_report(orders: DataFrame, day: Day) -> Report:
+def daily_sales_report(orders: DataFrame, day: Day, one_pass: bool = False) -> Report:
     day = as_date(day)
+    if one_pass:
+        orders = bases.line_base(orders, [(day, day)])
     return Report(
         name="daily_sales",
         period=f"{day}",
@@ -145,7 +149,10 @@ def weekly_inventory_alert(
     channel: str = inventory.ROCKET,
     warehouse: str = inventory.ROCKET,
     share: bool = True,
+    one_pass: bool = False,
 ) -> Report:
+    if one_pass:
+        orders = bases.demand_base(orders, as_date(as_of) - timedelta(days=30), as_of)
     status = _share(inventory.stock_status(stock, orders, as_of), share)
     risk = _share(inventory.rocket_delivery_risk(stock, orders, as_of, channel, warehouse), share)
     return Report(
@@ -170,10 +177,22 @@ def monthly_business_report(
     target: Decimal | int | float = DEFAULT_TARGET,
     share: bool = True,
     ad_month: str | None = None,
+    one_pass: bool = False,
 ) -> Report:
     """``ad_month`` is the month of the ad tab where it is not that of the sales."""
     first, last = month_days(month)
     ad_days = month_days(month if ad_month is None else ad_month)
+    if one_pass:
+        until = as_date(as_of)
+        orders = bases.line_base(
+            orders,
+            [
+                (first, last),
+                month_days(month, years_back=1),
+                (first.replace(month=1, day=1), min(until, first.replace(month=12, day=31))),
+                (until - timedelta(days=30), until),
+            ],
+        )
     cells = _share(sales.monthly_cells(orders, month, as_of), share)
     status = _share(inventory.stock_status(stock, orders, as_of), share)
     summary = sales.monthly_comparison_summary(orders, month, target, as_of, cells)
@@ -222,9 +241,13 @@ def ad_roas_report(
     end: Day,
     start: Day | None = None,
     share: bool = True,
+    one_pass: bool = False,
 ) -> Report:
     end: date = as_date(end)
     start = end - timedelta(days=7) if start is None else as_date(start)
+    if one_pass:
+        ad_campaigns = bases.ad_base(ad_campaigns, [(start, end), (end - timedelta(days=28), end)])
+        ad_keywords = bases.ad_base(ad_keywords, [(start, end)])
     campaigns = _share(advertising.roas_by_campaign(ad_campaigns, start, end), share)
     keywords = _share(advertising.keyword_performance(ad_keywords, start, end), share)
     return Report(

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names.
@@ -30,11 +34,25 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def _shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes a query's shuffle files when it ends, not when the driver's memory is next
+    cleaned: what has been written to a table needs them no more."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def written(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     """The rows of df as a table in the shared folder: cuts lineage and outlives executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.partitionBy(*(by or [])).parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    with _shuffles_go(spark):
+        df.write.partitionBy(*(by or [])).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
 

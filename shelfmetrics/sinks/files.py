@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmetrics.plans.bundles import Report
+from shelfmetrics.sinks import digests
 from shelfmetrics.sources.tables import CSV_TEXT
 
 NULL_TEXT = "null"
@@ -34,6 +35,57 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> int:
     return counted.get["rows"]
 
 
+class ExportMismatch(RuntimeError):
+    """An export whose files do not hold the rows that were written."""
+
+
+#: Times with all their digits.
+_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+#: Stands for an empty cell in a CSV export, where a missing one is empty.
+_EMPTY = "\x00"
+
+
+def read_export(spark: SparkSession, path: str, schema: T.StructType, kind: str) -> DataFrame:
+    """The rows of a verified export, in their types."""
+    if kind == "json":
+        return spark.read.options(**_TIMES).option("mode", "FAILFAST").schema(schema).json(path)
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    reader = spark.read.options(**CSV_TEXT).option("mode", "FAILFAST").option("emptyValue", _EMPTY)
+    df = reader.csv(path, schema=texts, header=True, multiLine=True)
+
+    def value(field: T.StructField) -> Column:
+        cell = F.col(f"`{field.name}`")
+        return F.when(cell == _EMPTY, "").otherwise(cell).cast(field.dataType).alias(field.name)
+
+    return df.select(*[value(f) for f in schema.fields])
+
+
+def export(df: DataFrame, path: str, kind: str) -> int:
+    """Export all rows as JSON lines or CSV, compare the files with what went into them, and return
+    the number of rows.
+
+    The digest of the rows is taken while they are written; that of the files is taken by reading
+    them back in the table's types, so it also tells a value that the format cannot hold. CSV holds
+    flat columns only.
+    """
+    if kind not in ("json", "csv"):
+        raise ValueError(kind)
+    rows, seen = digests.watched(df)
+    if kind == "json":
+        rows.write.mode("overwrite").options(**_TIMES).option("ignoreNullFields", "false").json(path)
+    else:
+        cells = rows.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) for f in df.schema.fields])
+        cells.write.mode("overwrite").options(**CSV_TEXT).option("header", True).csv(path)
+    written = digests.observed(seen)
+    found = digests.content_digest(read_export(df.sparkSession, path, df.schema, kind))
+    if found != written:
+        raise ExportMismatch(f"{path}: {written[0]} rows written, {found[0]} found, or other values")
+    return written[0]
+
+
 def _text(field: T.StructField) -> Column:
     value = F.col(f"`{field.name}`")
     text = value.cast("string")

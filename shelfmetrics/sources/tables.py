@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfmetrics.sources.catalogue import check_schema
 from shelfmetrics.sources.schemas import SCHEMAS
 
 #: CSV as spreadsheets write it, with texts unaltered.
@@ -43,8 +44,12 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def read_table(
     spark: SparkSession, dataset: str, table: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """A catalog table ``dataset.table`` with its declared schema."""
-    return conform(spark.table(f"{dataset}.{table}"), schema or SCHEMAS[table])
+    """A catalog table ``dataset.table`` with its declared schema.
+
+    A table that lacks a column, or has text where a number or a day is declared, is refused.
+    """
+    wanted, name = schema or SCHEMAS[table], f"{dataset}.{table}"
+    return conform(check_schema(spark.table(name), wanted, name), wanted)
 
 
 def read_files(

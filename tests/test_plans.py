@@ -81,10 +81,10 @@ def test_shared_price_base_is_scanned_once(stored):
     base.unpersist()
 
 
-@pytest.mark.parametrize("key", sorted(registered.queries()))
+@pytest.mark.parametrize("key", sorted(registered.report_queries()))
 def test_no_cross_join_and_no_python(spark, key):
-    text = plan(registered.queries()[key](spark, SF_DIR))
-    for operator in ("CartesianProduct", "NestedLoop", "Python", "Pandas"):
+    text = plan(registered.report_queries()[key](spark, SF_DIR))
+    for operator in ("CartesianProduct", "NestedLoop", "Python", "Pandas", "InArrow"):
         assert operator not in text, operator
 
 

@@ -59,14 +59,14 @@ def lines_of(path):
     return [row for part in parts for row in csv.reader(open(part, encoding="utf-8"))]
 
 
-def test_json_export_keeps_nulls_and_caps_last(spark, tmp_path):
+def test_json_export_keeps_nulls_and_every_row(spark, tmp_path):
     df = spark.createDataFrame([(1, None), (2, "b"), (3, "c")], "a long, b string")
     files.write_json(df, f"{tmp_path}/all")
     parts = sorted(glob.glob(f"{tmp_path}/all/part-*.json"))
     rows = [json.loads(line) for p in parts for line in open(p, encoding="utf-8")]
     assert {"a": 1, "b": None} in rows and len(rows) == 3
-    files.write_json(df.orderBy("a"), f"{tmp_path}/two")
-    assert spark.read.json(f"{tmp_path}/two").agg({"a": "max"}).first()[0] == 2
+    files.write_json(df.orderBy("a"), f"{tmp_path}/sorted")
+    assert sorted(r.a for r in spark.read.json(f"{tmp_path}/sorted").collect()) == [1, 2, 3]
 
 
 def test_csv_export_counts_and_round_trips(spark, tmp_path):
@@ -220,14 +220,9 @@ def test_command_line_runs_each_report(spark, tmp_path):
     ],
 )
 def test_bundle_queries_hand_out_every_cell(spark, name, tabs):
-    counted = registered.queries()[name](spark, f"{TESTDATA}/sf0.01").collect()
-    cells = registered.queries()[f"{name}_cells"](spark, f"{TESTDATA}/sf0.01").collect()
+    cells = registered.queries()[name](spark, f"{TESTDATA}/sf0.01").collect()
     width = {}
     for c in cells:
         width.setdefault(c.tab, set()).add(c.header)
         assert c.text is None or c.number is None
     assert len(width) == tabs  # the month's ad tab, too, has rows in its own month
-    rows = {tab: sum(c.tab == tab for c in cells) / len(width[tab]) for tab in width}
-    for r in counted:
-        if r.tab != "ad_performance":
-            assert rows[r.tab] == r.row_count

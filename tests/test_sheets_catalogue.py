@@ -1,0 +1,168 @@
+"""Broken sheets, catalogue tables by day, and sets of days."""
+
+import random
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rows import AS_OF, ad_campaigns, back, inventory, orders
+from shelfmetrics.functions.daysets import day_sets, days_within, merged
+from shelfmetrics.operators import advertising, inventory as ops
+from shelfmetrics.sources import catalogue, sheets
+from shelfmetrics.sources.tables import read_table
+from test_plans import plan
+
+SCHEMA = T.StructType([
+    T.StructField("id", T.LongType(), False), T.StructField("name", T.StringType()),
+    T.StructField("day", T.DateType()), T.StructField("price", T.DecimalType(9, 2)),
+])
+
+
+def sheet(spark, tmp_path, *files, header=True, schema=SCHEMA):
+    for k, text in enumerate(files):
+        data = text if isinstance(text, bytes) else text.encode()
+        (tmp_path / f"sheet-{k}.csv").write_bytes(data)
+    return sheets.read_sheet_rows(spark, str(tmp_path), schema, header)
+
+
+def test_broken_rows_go_aside_with_file_line_and_reason(spark, tmp_path):
+    text = (
+        "id,name,day,price\n"
+        '1,"two\nlines, ""quoted""",2024-01-02,3.50\n'
+        "2,short\n"
+        "\n"
+        "3,,,\n"
+        '4,"",2024-02-30,1\n'
+        "x,a,2024-01-01,1\n"
+        ",a,2024-01-01,1\n"
+        "5,a,2024-01-01,1,more\r\n"
+        " 6 , b ,2024-01-01, 2 \r\n"
+        '7,"never closed,2024-01-01,1\n8,a,2024-01-01,1\n'
+    )
+    other = "name,id,day,price\na,1,2024-01-01,1\n"
+    got = sheet(spark, tmp_path, text, other, "", "id,name,day,price\n", b"id,name,day,price\n9,\xff,2024-01-01,1\n")
+    assert sorted(map(tuple, got.rows.collect())) == [
+        (1, 'two\nlines, "quoted"', date(2024, 1, 2), got.rows.where("id = 1").first().price),
+        (3, None, None, None),
+        (6, " b ", date(2024, 1, 1), got.rows.where("id = 6").first().price),
+    ]
+    assert got.rows.dtypes == [("id", "bigint"), ("name", "string"), ("day", "date"), ("price", "decimal(9,2)")]
+    rejected = {(r.file.rsplit("/", 1)[-1], r.line): (r.reason, r.raw) for r in got.rejected.collect()}
+    assert rejected == {
+        ("sheet-0.csv", 4): ("too few cells", "2,short"),
+        ("sheet-0.csv", 7): ("day: not a date", '4,"",2024-02-30,1'),
+        ("sheet-0.csv", 8): ("id: not a bigint", "x,a,2024-01-01,1"),
+        ("sheet-0.csv", 9): ("id: missing", ",a,2024-01-01,1"),
+        ("sheet-0.csv", 10): ("too many cells", "5,a,2024-01-01,1,more"),
+        ("sheet-0.csv", 12): ("too few cells", '7,"never closed,2024-01-01,1\n8,a,2024-01-01,1'),
+        ("sheet-1.csv", 2): ("the header is not the declared one", "a,1,2024-01-01,1"),
+        ("sheet-4.csv", 2): ("not UTF-8", "9,�,2024-01-01,1"),
+    }
+
+
+def test_empty_cells_are_null_and_quoted_ones_empty(spark, tmp_path):
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in "abcd"])
+    got = sheet(spark, tmp_path, '"",,"x""",\n,"","",z\n"a\n""",,"",""\n', header=False, schema=schema)
+    assert got.rejected.isEmpty()
+    assert sorted(map(tuple, got.rows.collect()), key=str) == sorted(
+        [("", None, 'x"', None), (None, "", "", "z"), ('a\n"', None, "", "")], key=str
+    )
+
+
+def test_every_row_is_on_one_side(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sheets, "_ROWS", 7)
+    lines = [f"{k},n,2024-01-01,{'x' if k % 3 else 1}" for k in range(100)]
+    got = sheet(spark, tmp_path, "id,name,day,price\n" + "\n".join(lines))
+    assert (got.rows.count(), got.rejected.count()) == (34, 66)
+    assert {(int(r.raw.split(",")[0]) + 2, r.reason) for r in got.rejected.collect()} == {
+        (k + 2, "price: not a decimal(9,2)") for k in range(100) if k % 3
+    }
+
+
+# --- catalogue
+
+
+@pytest.fixture
+def ads(spark, tmp_path):
+    rows = [dict(report_date=back(k), campaign_id=f"c{k % 3}", clicks=k) for k in range(20)]
+    catalogue.new_dataset(spark, "by_day", f"{tmp_path}/by_day")
+    catalogue.save_by_day(ad_campaigns(spark, *rows), "by_day", "ad_campaigns", "report_date", f"{tmp_path}/ads")
+    days = spark.createDataFrame([(back(k).date(), int(k in (2, 5, 11))) for k in range(20)], "day date, sale int")
+    days.write.mode("overwrite").option("path", f"{tmp_path}/days").saveAsTable("by_day.calendar")
+    yield read_table(spark, "by_day", "ad_campaigns")
+    spark.sql("DROP DATABASE by_day CASCADE")
+
+
+def read_partitions(df) -> int:
+    """Partitions that the scan of the partitioned table has read."""
+    df.collect()
+    todo, found = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if node.nodeName().endswith("QueryStage"):
+            todo.append(node.plan())
+            continue
+        if node.nodeName().startswith("Scan") and node.metrics().contains("numPartitions"):
+            found.append(node.metrics().apply("numPartitions").value())
+        todo += [node.children().apply(k) for k in range(node.children().size())]
+    assert len(found) == 1
+    return found[0]
+
+
+def test_fixed_days_prune_partitions(ads):
+    assert read_partitions(ads) == 20
+    week = advertising.roas_by_campaign(ads, AS_OF - timedelta(days=6), AS_OF)
+    assert read_partitions(week) == 7
+
+
+def test_days_of_a_calendar_prune_partitions_at_run_time(spark, ads):
+    sale = spark.table("by_day.calendar").where("sale = 1").select("day")
+    chosen = catalogue.on_days(ads, "report_date", sale)
+    assert "dynamicpruning" in plan(chosen).lower()
+    assert read_partitions(chosen) == 3
+    assert sorted(r.clicks for r in chosen.collect()) == [2, 5, 11]
+
+
+def test_tables_are_checked_at_the_door(spark, tmp_path):
+    catalogue.new_dataset(spark, "door", f"{tmp_path}/door")
+    wrong = inventory(spark, {}).withColumn("current_stock", F.lit("many")).drop("warehouse")
+    wrong.write.option("path", f"{tmp_path}/wrong").saveAsTable("door.inventory")
+    with pytest.raises(catalogue.SchemaMismatch, match="current_stock is string, not bigint; *|warehouse is missing"):
+        read_table(spark, "door", "inventory")
+    problems = catalogue.schema_problems(wrong.schema, inventory(spark, {}).schema)
+    assert sorted(problems) == ["current_stock is string, not bigint", "warehouse is missing"]
+    spark.sql("DROP DATABASE door CASCADE")
+
+
+# --- sets of days
+
+
+def test_day_sets_count_any_range_exactly(spark):
+    rng = random.Random(4)
+    first = date(1969, 11, 1)  # before and after day 0
+    rows = [(rng.choice("ab"), rng.choice("xyz"), first + timedelta(days=rng.randrange(200))) for _ in range(300)]
+    df = spark.createDataFrame([*rows, ("a", "x", None)], "sku string, warehouse string, day date")
+    sets = day_sets(df, ["sku", "warehouse"], "day")
+    parts = [day_sets(df.where(f"pmod(hash(day), 3) = {k}"), ["sku", "warehouse"], "day") for k in range(3)]
+    later = parts[0].unionAll(parts[1]).unionAll(parts[2])  # stored by day, merged later
+    for low, high in ((0, 199), (0, 0), (63, 64), (60, 61), (10, 130), (100, 90), (-50, 400)):
+        a, b = first + timedelta(days=low), first + timedelta(days=high)
+        want = {s: len({d for k, _, d in rows if k == s and a <= d <= b}) for s in "ab"}
+        for given in (sets, later):
+            got = merged(given, ["sku"]).groupBy("sku").agg(F.sum(days_within(a, b)).alias("n")).collect()
+            assert {r.sku: r.n for r in got} == want
+
+
+def test_active_days_over_channels(spark):
+    lines = orders(
+        spark, dict(order_date=back(1)), dict(order_date=back(1), channel="b"), dict(order_date=back(14)),
+        dict(order_date=back(30)), dict(order_date=back(61)), dict(sku="old", order_date=back(20)),
+    )
+    stock = inventory(spark, {}, dict(warehouse="w2"), dict(sku="old"), dict(sku="unsold"))
+    rows = ops.active_days(stock, day_sets(lines, ["sku", "channel"], "order_date"), AS_OF).collect()
+    assert [tuple(r)[1:] for r in rows] == [(1, 2, 3, 3)]
