@@ -7,8 +7,8 @@ it may not move, the pair's bucket holds the strings to test, and each is compar
 the text itself.
 
 Items are dealt into blocks of a bounded size. A block is sent to all tasks, and the
-documents pass the blocks one after another, so nothing that is broadcast grows with the
-benchmark, and nothing is shuffled.
+documents pass the blocks one after another; what is found is written before the next block is
+read, so that neither the driver nor a task ever holds more than one. Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmetrics.llm import symbols
+from shelfmetrics.llm.common import written
 from shelfmetrics.llm.symbols import LOWER, NOT_ALNUM, U
 
 WINDOW = 10
@@ -207,7 +208,9 @@ def find_leaks(
         F.array().cast("array<bigint>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
     )
-    for items in item_blocks(benchmark, item_col, item_text_col, block_bytes):
+    for k, items in enumerate(item_blocks(benchmark, item_col, item_text_col, block_bytes)):
+        if k:  # the block before is done with, in the driver and in the tasks
+            state = written(state, "leaks-so-far")
         state = state.mapInArrow(_search(items, window), state.schema)
     return state.drop("text")
 

@@ -23,7 +23,6 @@ from shelfmetrics.llm.common import written
 from shelfmetrics.llm.symbols import U, mix, slices
 
 VOCABULARY = "piece_bpe_32k.model"
-LONGEST = 8
 #: About so many labelled documents of each language are read for training.
 TRAIN_DOCS = 400
 ROUNDS = 3
@@ -43,7 +42,7 @@ def vocabulary(path: str | None = None) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path(VOCABULARY))
     pieces = {model.id_to_piece(i).lstrip("▁").lower() for i in range(model.get_piece_size())}
-    return sorted(p for p in pieces if len(p) <= LONGEST and LETTERS.fullmatch(p))
+    return sorted(p for p in pieces if LETTERS.fullmatch(p))
 
 
 class Pieces:
@@ -52,8 +51,9 @@ class Pieces:
 
     def __init__(self, pieces: list[str]):
         self.n = len(pieces) + 1  # the last entry: an unknown letter
+        self.longest = max(map(len, pieces), default=1)
         h = np.zeros(len(pieces), dtype=U)
-        for length in range(1, LONGEST + 1):
+        for length in range(1, self.longest + 1):
             own = [i for i, p in enumerate(pieces) if len(p) == length]
             if own:
                 codes = np.array([[ord(c) for c in pieces[i]] for i in own], dtype=U)
@@ -80,7 +80,7 @@ class Pieces:
         return found
 
     def tables(self, codes: np.ndarray) -> list[np.ndarray]:
-        return [self.find(codes, k) for k in range(1, min(LONGEST, codes.shape[1]) + 1)]
+        return [self.find(codes, k) for k in range(1, min(self.longest, codes.shape[1]) + 1)]
 
 
 def forward(entries: list[np.ndarray], probs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,9 +91,13 @@ def forward(entries: list[np.ndarray], probs: np.ndarray) -> tuple[np.ndarray, n
     alpha = np.zeros((n + 1, words, probs.shape[1]))
     alpha[0] = 1
     scale = np.zeros((n + 1, words))
+    # lengths of which any of these words has a piece
+    lengths = [k for k, e in enumerate(entries, 1) if (e != len(probs) - 1).any()]
     for j in range(1, n + 1):
         total = alpha[j]
-        for k in range(1, min(len(entries), j) + 1):
+        for k in lengths:
+            if k > j:
+                break
             shift = np.exp(scale[j - k] - scale[j - 1])[:, None]
             total += alpha[j - k] * shift * probs[entries[k - 1][:, j - k]]
         most = total.max(axis=1)
@@ -220,7 +224,7 @@ def train(
     return Model(languages, names, probs)
 
 
-def _predict(model: Model):
+def _predict(model: Model, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(model.pieces)
         known: dict[str, int] = {}
@@ -246,8 +250,8 @@ def _predict(model: Model):
                     langs.append(model.languages[best])
                     sure.append(min(1.0, 1 / math.fsum(np.exp(total - total[best]))))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), pa.array(langs, pa.string()), pa.array(sure, pa.float64())],
-                    ["row", "lang_pred", "score"],
+                    [*(part.column(n) for n in names), pa.array(langs, pa.string()), pa.array(sure, pa.float64())],
+                    [*names, "lang_pred", "score"],
                 )
 
     return run
@@ -262,10 +266,19 @@ def predict(
     Texts that are null or have no letter get `und` and score 0, as do all texts if the model
     has learned no language. Equal likelihoods: the first language by name.
     """
-    row = F.struct(*[F.col(c) for c in (docs.columns if carry is None else carry)])
-    own = docs.select(row.alias("row"), F.col(text_col).cast("string").alias("text"))
-    schema = own.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return own.mapInArrow(_predict(model), schema)
+    carry = docs.columns if carry is None else carry
+    # the text goes to Python and back once, even if it is carried
+    once = text_col in carry and docs.schema[text_col].dataType.typeName() == "string"
+    others = [F.col(f"`{c}`") for c in carry if not (once and c == text_col)] or [F.lit(0).alias("none")]
+    own = docs.select(F.struct(*others).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    names = ["row", "text"] if once else ["row"]
+    schema = own.select(*names, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    done = own.mapInArrow(_predict(model, names), schema)
+    if not once:
+        return done
+    fields = [F.col("text") if c == text_col else F.col(f"row.`{c}`") for c in carry]
+    row = F.struct(*[f.alias(c) for f, c in zip(fields, carry, strict=True)])
+    return done.select(row.alias("row"), "lang_pred", "score")
 
 
 def fold(doc_id):

@@ -74,8 +74,29 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     ],
 }
+#: What a family is called in a line `SPDX-License-Identifier: ...`.
+SPDX = {
+    "apache-2.0": "Apache-2.0",
+    "bsd-3-clause": "BSD-3-Clause",
+    "cc-by-4.0": "CC-BY-4.0",
+    "cc-by-nc-4.0": "CC-BY-NC-4.0",
+    "cc-by-sa-4.0": "CC-BY-SA-4.0",
+    "gpl-2.0": "GPL-2.0",
+    "gpl-3.0": "GPL-3.0",
+    "lgpl-3.0": "LGPL-3.0",
+    "mit": "MIT",
+    "mpl-2.0": "MPL-2.0",
+}
+for _family, _name in SPDX.items():
+    TEMPLATES[_family].append(f"SPDX-License-Identifier: {_name}")
 #: Notices of no family above.
 OTHERS = [
+    "ISC License",
+    "The zlib License",
+    "SPDX-License-Identifier: ISC",
+    "SPDX-License-Identifier: EUPL-1.2",
+    "Licensed under the GNU Affero General Public License, version 3.",
+    "You should have received a copy of the GNU Affero General Public License along with this program.",
     "All rights reserved.",
     "Copyright (c) 2020 by the authors. All rights reserved.",
     "No part of this publication may be reproduced without prior written permission of the publisher.",
@@ -178,20 +199,24 @@ def _variants(notice: str, background: list[str], n: int, rng: np.random.Generat
     return out
 
 
-def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", train_docs: int = TRAIN_DOCS) -> Classifier:
-    """Fit the classifier; the corpus gives the paragraphs that are no licences. Lines that
-    confirm a template or speak of rights are not taken for such."""
+def train(
+    docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", train_docs: int = TRAIN_DOCS,
+    train_paragraphs: int = TRAIN_PARAGRAPHS,
+) -> Classifier:
+    """Fit the classifier; the corpus gives the paragraphs that are no licences: at most
+    train_paragraphs of about train_docs documents, both by hash. Lines that confirm a template or
+    speak of rights are not taken for such, nor are blank ones, whatever the blanks."""
     own = docs.where(F.col(text_col).isNotNull())
     total = own.count()
     share = min(1.0, train_docs / total) if total else 1.0
     draw = F.pmod(F.xxhash64(F.lit("licence"), F.col(id_col), F.substring(text_col, 1, 64)), F.lit(1 << 30))
     lines = own.where(draw < int(share * (1 << 30)) + 1).select(F.explode(F.split(text_col, "\n")).alias("line"))
     lines = lines.where(F.length(F.trim("line")) > 0).distinct()
-    some = [r[0] for r in lines.orderBy(F.xxhash64("line"), "line").limit(TRAIN_PARAGRAPHS).collect()]
+    some = [r[0] for r in lines.orderBy(F.xxhash64("line"), "line").limit(train_paragraphs).collect()]
     templates = template_pairs()
     background = []
     for line in some:
-        if RIGHTS.search(line):
+        if RIGHTS.search(line) or not line.split():
             continue
         _, pairs, _ = _of_lines([line])
         own_pairs = set(pairs.tolist())

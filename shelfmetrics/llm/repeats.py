@@ -12,9 +12,13 @@ stretch of text it covers, is a phrase. Every window lies in exactly one phrase.
 3. What is left are the borders of repeated passages: phrases without an earlier equal whose
    anchor occurs in other phrases, too. Their windows are looked at one by one.
 
-Between passes the anchors (or places) to keep are sent as a bitmap of fixed size. It may
-let more through than asked for, never less; what comes through in excess finds no partner.
-Full bitmaps at very large inputs cost rows, one for each phrase at most, not results.
+Between passes the anchors (or places) to keep are sent as a bitmap, of 16 bits for each of them
+and at most of a fixed size. It may let more through than asked for, never less; what comes
+through in excess finds no partner. Full bitmaps at very large inputs cost rows, one for each
+phrase at most, not results.
+
+Phrases are equal if their anchors and their contents have equal 64-bit hashes, over symbols that
+depend on a key drawn for the run.
 
 A phrase depends on its own text alone, not on how rows are dealt to tasks or batches, so
 later passes meet the phrases of earlier ones again.
@@ -27,14 +31,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmetrics.llm.common import discard, written
 from shelfmetrics.llm.symbols import U, mix, prefix, slices, stretches
 
-#: The bitmaps have 2^28 bits, 32 MB, whatever the input.
-SLOT_BITS = 28
+#: Bitmaps have 2^28 bits, 32 MB, at most; 2^SPARE for each element, if that is less.
+SLOT_BITS, SPARE = 28, 4
 #: Slots of one row while a bitmap is put together.
 SHARD_BITS = 16
 FLUSH = 2 << 20
@@ -94,9 +98,9 @@ class Phrases:
 
 
 def phrases(batch: pa.RecordBatch, symbolise: Symbolise, length: int, gram: int) -> Iterator[tuple]:
-    """(Phrases, ids, offset, (bytes, symbols, low)) of a batch (id, text), stretch by stretch:
+    """(Phrases, ids, offset, (bytes, offsets, low)) of a batch (id, text), stretch by stretch:
     ids by text; the place of a symbol within its text is its place plus offset[text]; low is the
-    stretch's place in the symbols. Long texts are cut at multiples of STEP of their own symbols,
+    stretch's place in the slice's symbols. Long texts are cut at multiples of STEP of their own symbols,
     with enough overlap that no window is lost."""
     for part, raw, offsets in slices(batch, "text"):
         symbols, first = symbolise(raw, offsets)
@@ -113,12 +117,16 @@ def phrases(batch: pa.RecordBatch, symbolise: Symbolise, length: int, gram: int)
                 own = STEP if alone else high - low
                 found = Phrases(prefix(symbols[low:high]), edges, own, length, gram)
                 if len(found.low):
-                    yield found, ids[k:to], low - first[k:to], (raw, symbols, low)
+                    yield found, ids[k:to], low - first[k:to], (raw, offsets, low)
             k = to
 
 
-def slot(h: np.ndarray) -> np.ndarray:
-    return (h >> U(64 - SLOT_BITS)).astype(np.int64)
+def slot(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h >> U(64 - bits)).astype(np.int64)
+
+
+def slot_bits(elements: int) -> int:
+    return min(SLOT_BITS, max(SHARD_BITS, max(1, elements).bit_length() + SPARE))
 
 
 def place(ids: np.ndarray, low: np.ndarray) -> np.ndarray:
@@ -126,15 +134,15 @@ def place(ids: np.ndarray, low: np.ndarray) -> np.ndarray:
 
 
 def in_bitmap(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
-    at = slot(h)
+    at = slot(h, len(bitmap).bit_length() + 2)  # 2^k bits in 2^(k - 3) bytes
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _slots(hashes, least: int):
+def _slots(hashes, least: int, bits: int):
     """Slots of hashes(batch), by shard: those met once and those met more often in this task."""
 
     def rows(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        slots, counts = np.unique(slot(np.concatenate(parts)), return_counts=True)
+        slots, counts = np.unique(slot(np.concatenate(parts), bits), return_counts=True)
         several = counts >= least
         shard = slots >> SHARD_BITS
         cuts = np.flatnonzero(np.diff(shard, prepend=-1))
@@ -203,16 +211,18 @@ class Bits:
         self.packed.unpersist()
 
 
-def bitmap(rows: DataFrame, hashes, least: int) -> Bits:
+def bitmap(rows: DataFrame, hashes, least: int, elements: int | None = None) -> Bits:
     """Broadcast bitmap of the slots of hashes(batch) of rows met at least `least` (1 or 2) times.
-    Of each shard a row of fixed size reaches the driver, 2^SLOT_BITS bits in all."""
+    Of each shard a row of fixed size reaches the driver, 2^SLOT_BITS bits in all at most; less if
+    it is known how many elements there are."""
     spark = rows.sparkSession
-    parts = rows.mapInArrow(_slots(hashes, least), "shard int, few binary, several binary")
+    bits = SLOT_BITS if elements is None else slot_bits(elements)
+    parts = rows.mapInArrow(_slots(hashes, least, bits), "shard int, few binary, several binary")
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     joined = parts.repartition(n, "shard").mapInArrow(_joined_slots, "shard int, bits binary")
-    out = np.zeros((1 << (SLOT_BITS - SHARD_BITS), 1 << (SHARD_BITS - 3)), dtype=np.uint8)
-    for shard, bits in zip(*(c.to_pylist() for c in joined.toArrow().columns), strict=True):
-        out[shard] = np.frombuffer(bits, np.uint8)
+    out = np.zeros((1 << (bits - SHARD_BITS), 1 << (SHARD_BITS - 3)), dtype=np.uint8)
+    for shard, own in zip(*(c.to_pylist() for c in joined.toArrow().columns), strict=True):
+        out[shard] = np.frombuffer(own, np.uint8)
     return Bits(spark, out.ravel())
 
 
@@ -247,7 +257,7 @@ def repeated_bitmap(rows: DataFrame, hashes) -> Bits:
     met more than once take slots. It moves more, and lets much less through."""
     counts = rows.mapInArrow(_hash_rows(hashes), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     repeated = written(counts.where("n > 1").select("h"), "repeated-hashes")
-    bits = bitmap(repeated, hash_column, 1)
+    bits = bitmap(repeated, hash_column, 1, repeated.count())
     discard(repeated)
     return bits
 
@@ -284,7 +294,9 @@ class Repeats:
 
     later: the condition on id, low and first (struct of id and low of the earliest equal) that
     makes a phrase or window a repeat. spans: tables (id, low, high) of what is settled;
-    several: tables of anchors of more than one content, with their number.
+    several: tables of anchors of more than one content, with their number. Of the phrases of one
+    content that are no repeats, all in one text, the first stands for them; twins are tables
+    (id, low, high, first) of the others, which share what is found for it.
     """
 
     def __init__(
@@ -298,6 +310,7 @@ class Repeats:
         self.texts, self.args = texts, (symbolise, length, gram)
         self.spans: list[DataFrame] = []
         self.several: list[DataFrame] = []
+        self.twins: list[DataFrame] = []
         borders: list[DataFrame] = []
         self.anchors = repeated_bitmap(texts, _anchor_hashes(*self.args))
         schema = "anchor long, content long, id long, low long, count long"
@@ -316,17 +329,20 @@ class Repeats:
             repeat = F.coalesce(later(F.col("id"), F.col("low"), F.col("first")), F.lit(False))
             high = F.col("low") + F.col("count") - 1 + length
             marked = rows.join(known, ["anchor", "content"], "left").select(
-                "anchor", "id", "low", high.alias("high"), repeat.alias("repeat")
+                "anchor", "id", "low", high.alias("high"), repeat.alias("repeat"),
+                F.when(F.col("low") != F.col("first.low"), F.col("first.low")).alias("first"),
             )
             marked = written(marked, "marked")
             discard(firsts, known)
             self.spans.append(written(marked.where("repeat").select("id", "low", "high"), "repeated"))
-            border = marked.where("not repeat").join(several.select("anchor"), "anchor")
+            open_rows = marked.where("not repeat").join(several.select("anchor"), "anchor")
+            self.twins.append(written(open_rows.where("first is not null").select("id", "low", "high", "first"), "twins"))
+            border = open_rows.where("first is null")
             borders.append(written(border.select("id", "low"), "border"))
             self.several.append(several)
             discard(marked)
         discard(found)
-        self.places = bitmap(together(borders), _place_hashes, 1)
+        self.places = bitmap(together(borders), _place_hashes, 1, sum(b.count() for b in borders))
         discard(*borders)
 
     def last_pass(self, make, schema: str, name: str) -> DataFrame:
@@ -379,12 +395,20 @@ class Documents:
         self.texts = own.where("id is not null").select("id", "text")
 
     def with_spans(self, parts: list[DataFrame]) -> DataFrame:
-        """Rows (row, text, spans); spans are what parts (id, low, high) hold of the row's id, no
-        more than its text has windows. Only texts that have spans are exchanged."""
-        spans = together(parts).groupBy("id").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+        """Rows (row, text, spans); spans are the parts (id, low, high) of the row's id, joined where
+        they touch, so there are no more than the text has gaps. Only texts that have spans are
+        exchanged."""
+        before = Window.partitionBy("id").orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
+        so_far = Window.partitionBy("id").orderBy("low", "high").rowsBetween(Window.unboundedPreceding, 0)
+        reach = F.max("high").over(before)
+        own = together([p.select("id", "low", "high") for p in parts])
+        opened = own.withColumn("opens", (reach.isNull() | (F.col("low") > reach)).cast("int"))
+        runs = opened.withColumn("run", F.sum("opens").over(so_far)).groupBy("id", "run")
+        runs = runs.agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        spans = runs.groupBy("id").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
         spans = written(spans, "spans")
         discard(*parts)
-        some = bitmap(spans.select("id"), id_hashes, 1)
+        some = bitmap(spans.select("id"), id_hashes, 1, spans.count())
         schema = self.rows.schema
         touched = self.rows.mapInArrow(chosen(some, True), schema).join(spans, "id", "left")
         rest = self.rows.mapInArrow(chosen(some, False), schema).withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))

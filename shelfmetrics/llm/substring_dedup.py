@@ -29,23 +29,29 @@ WINDOW = 20
 GRAM = 6
 
 
-def word_symbols(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    start, end, first = symbols.words(raw, offsets, BLANK)
-    return symbols.hashes(raw, start, end), first
+def word_symbols(key: int):
+    def symbolise(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        start, end, first = symbols.words(raw, offsets, BLANK)
+        return symbols.hashes(raw, start, end, key), first
+
+    return symbolise
 
 
 def later(doc: Column, low: Column, first: Column) -> Column:
     return (doc > first["id"]) | ((doc == first["id"]) & (low > first["low"]))
 
 
-def _boundary_windows(window: int):
+def _boundary_windows(window: int, symbolise):
     def make(borders):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for found, ids, offset, (_, words, low) in borders(batch):
+                known = None
+                for found, ids, offset, (raw, offsets, low) in borders(batch):
                     phrase, start = found.windows()
                     h = symbols.stretches(found.sums, start, start + window)
-                    # a second hash, of other powers, over the same words
+                    # a second hash, over hashes of the words under another key
+                    if known is not raw:
+                        known, (words, _) = raw, symbolise(raw, offsets)
                     other = np.zeros(len(start), dtype=U)
                     for k in range(window):
                         other = mix(other * U(3) + words[low + start + k])
@@ -62,8 +68,9 @@ def _boundary_windows(window: int):
 
 def duplicate_spans(texts: DataFrame, window: int = WINDOW) -> list[DataFrame]:
     """(id, low, high) of words in factors and in windows found at factor boundaries."""
-    parse = Repeats(texts, word_symbols, window, min(GRAM, window), later)
-    checks = parse.last_pass(_boundary_windows(window), "h1 long, h2 long, id long, low long", "boundary-windows")
+    parse = Repeats(texts, word_symbols(symbols.new_key()), window, min(GRAM, window), later)
+    second = word_symbols(symbols.new_key())
+    checks = parse.last_pass(_boundary_windows(window, second), "h1 long, h2 long, id long, low long", "boundary-windows")
     firsts = checks.groupBy("h1", "h2").agg(
         F.min(F.struct("id", "low")).alias("first"), F.count(F.lit(1)).alias("n")
     )

@@ -1,11 +1,15 @@
 """Words and bytes of Arrow text columns as arrays of 64-bit symbols.
 
-Hashes are polynomials modulo 2^64 over random values of the bytes, taken from prefix sums,
-so a hash of any stretch costs one subtraction and one product.
+Words are hashed eight bytes at a time under a key. Stretches of symbols have polynomials modulo
+2^64 for hashes, taken from prefix sums, so that of any stretch costs one subtraction and one
+product. Such polynomials of long regular stretches can agree without a reason, whatever the
+values; so they are taken of short stretches only, over symbols that depend on the key.
 """
 
 from __future__ import annotations
 
+import hashlib
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +19,8 @@ import pyarrow.compute as pc
 SLICE_BYTES = 2 << 20
 BASE = 0x9E3779B97F4A7C15
 CHUNK = 1 << 20
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 256
 U = np.uint64
 
 BLANK = np.zeros(256, bool)
@@ -102,14 +108,27 @@ def words(raw: np.ndarray, offsets: np.ndarray, apart: np.ndarray) -> tuple:
     return start, end, np.searchsorted(start, offsets)
 
 
-def hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The hash of every span; spans are in order and don't overlap."""
-    out = np.empty(len(start), dtype=U)
-    at = 0
-    while at < len(start):
-        to = max(at + 1, int(np.searchsorted(start, start[at] + CHUNK)))
-        low, high = start[at], end[to - 1]
-        sums = prefix(BYTE_VALUES[raw[low:high]])
-        out[at:to] = stretches(sums, start[at:to] - low, end[at:to] - low)
-        at = to
+def new_key() -> int:
+    """A key for one run: no text can be made for two words to share a hash under it."""
+    return secrets.randbits(63)
+
+
+def hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, key: int = 0) -> np.ndarray:
+    """The hash of every span of bytes."""
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))  # from every byte on
+    length = end - start
+    out = mix(length.astype(U) * U(0x94D049BB133111EB) + U(key))
+    for k in np.flatnonzero(length > LONG_WORD):
+        own = hashlib.blake2b(raw[start[k] : end[k]].tobytes(), digest_size=8, key=key.to_bytes(8, "little"))
+        out[k] = int.from_bytes(own.digest(), "little")
+    alive, at = np.flatnonzero((length > 0) & (length <= LONG_WORD)), 0
+    while len(alive):
+        left = length[alive] - at
+        chunk = eight[start[alive] + at]
+        # bytes behind the end count as none
+        chunk &= U(0xFFFFFFFFFFFFFFFF) >> (U(8) * (U(8) - np.minimum(left, 8).astype(U)))
+        out[alive] = mix(out[alive] ^ chunk) + U(at)
+        alive = alive[left > 8]
+        at += 8
     return out
