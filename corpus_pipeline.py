@@ -8,31 +8,44 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmetrics.llm import bpe, decontaminate, language, line_dedup, ngram_join
 from shelfmetrics.llm.common import table, written
 
 NEAR_SHINGLE, NEAR_PERCENT = 5, 80
+#: From this score on the language that was identified takes the place of another label.
+CERTAIN = 0.99
 
 
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents that have no letter; all stay where no language could be learned."""
+def _columns(docs: DataFrame, **other: Column) -> list[Column]:
+    """The columns of docs out of `row`, some of them computed anew."""
+    return [other.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
+
+
+def identify_language(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, languages: list[str] | None = None
+) -> DataFrame:
+    """Documents in the languages named, or in any that could be learned; those without a letter
+    (null and empty texts, too) go. lang becomes what the text is identified as, where it was null
+    or the identification is certain. All rows stay as they are where no language could be learned."""
     model = language.train(docs)
     if not model.languages:
         return docs
-    return language.predict(docs, model).where(F.col("lang_pred") != language.UNDETERMINED).select("row.*")
+    found = language.predict(docs, model)
+    wanted = F.col("lang_pred") != language.UNDETERMINED
+    if languages is not None:
+        wanted &= F.col("lang_pred").isin(languages)
+    lang = F.when(F.col("score") >= CERTAIN, F.col("lang_pred")).otherwise(F.coalesce("row.lang", "lang_pred"))
+    return found.where(wanted).select(*_columns(docs, lang=lang))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take lines that an earlier document has out of the texts."""
-    done = line_dedup.drop_repeated_lines(docs).select("row.*", F.col("kept_text").alias("_kept"))
-    # a null text stays null
-    text = F.when(F.col("text").isNotNull(), F.col("_kept"))
-    return done.withColumns(
-        {"text": text, "n_chars": F.coalesce(F.char_length(text).cast("long"), F.lit(0).cast("long"))}
-    ).select(docs.columns)
+    """Take lines that an earlier document has out of the texts. Null texts stay null."""
+    done = line_dedup.drop_repeated_lines(docs)
+    text = F.when(F.col("row.text").isNotNull(), F.col("kept_text"))
+    return done.select(*_columns(docs, text=text, n_chars=F.coalesce(F.char_length(text).cast("long"), F.lit(0).cast("long"))))
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,33 +54,32 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     done = ngram_join.join_similar(docs, size=NEAR_SHINGLE, percent=NEAR_PERCENT)
     done = written(done, "linked")
     stays = F.col("component_id").isNull() | (F.col("component_id") == F.col("row.doc_id"))
-    kept = done.where(stays)
-    ids = kept.where((F.col("n_shingles") > 0) & F.col("row.doc_id").isNotNull()).select("row.doc_id")
-    repeated = written(ids.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    kept = done.where(stays).select("row", "n_shingles", F.col("row.doc_id").alias("id"))
+    ids = kept.where("n_shingles > 0 and id is not null").groupBy("id").count()
+    repeated = written(ids.where("count > 1").select("id", F.lit(True).alias("again")), "repeated-ids")
     if repeated.isEmpty():
-        return kept.select("row.*")
-    rows = kept.select("row.*", F.col("n_shingles").alias("_n")).join(
-        repeated.withColumn("_repeated", F.lit(True)), "doc_id", "left"
-    )
-    again = F.coalesce("_repeated", F.lit(False)) & (F.col("_n") > 0)
-    once = rows.where(again).drop("_n", "_repeated").dropDuplicates(["doc_id", "text"])
-    return rows.where(~again).select(docs.columns).unionByName(once.select(docs.columns))
+        return kept.select(*_columns(docs))
+    rows = kept.join(repeated, "id", "left").withColumn("again", F.coalesce("again", F.lit(False)) & (F.col("n_shingles") > 0))
+    once = rows.where("again").withColumn("text", F.col("row.text")).dropDuplicates(["id", "text"])
+    return rows.where("not again").select(*_columns(docs)).unionByName(once.select(*_columns(docs)))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents in which a test string of the benchmark occurs."""
+    """Reject documents in which a test string of the benchmark occurs. Null and wordless texts
+    have none and stay; so does everything where the benchmark is empty."""
     found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("spans") == 0).select("row.*")
+    return found.where(F.size("spans") == 0).select(*_columns(docs))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids (little-endian unsigned 32-bit integers), and whether they decode to the text."""
+    """Token ids (little-endian unsigned 32-bit integers), and whether they decode to the text. A
+    null text is encoded as an empty one, which has no tokens."""
     coded = bpe.encode_decode(docs)
     text = F.encode(F.coalesce(F.col("row.text"), F.lit("")), "UTF-8")
+    named = [F.col(f"row.{c}") if c in docs.columns else F.lit(None).cast("string").alias(c) for c in ("lang", "source")]
     return coded.select(
         "row.doc_id",
-        "row.lang",
-        "row.source",
+        *named,
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         "ids",
         F.sha2("ids", 256).alias("ids_sha256"),
