@@ -9,7 +9,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
+}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,22 +38,25 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def _shuffles_go(spark: SparkSession) -> Iterator[None]:
+def _while_writing(spark: SparkSession) -> Iterator[None]:
     """Spark deletes a query's shuffle files when it ends, not when the driver's memory is next
-    cleaned: what has been written to a table needs them no more."""
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    cleaned: what has been written to a table needs them no more. A few partitions are written
+    side by side, without a sort."""
+    before = {key: spark.conf.get(key, None) for key in SETTINGS}
     try:
+        for key, value in SETTINGS.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def written(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     """The rows of df as a table in the shared folder: cuts lineage and outlives executors."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    with _shuffles_go(spark):
+    with _while_writing(spark):
         df.write.partitionBy(*(by or [])).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
