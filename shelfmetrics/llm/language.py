@@ -29,7 +29,7 @@ ROUNDS = 3
 SMOOTH = 0.05
 #: A letter in no piece of the vocabulary has this probability in every language.
 UNKNOWN = 1e-7
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
 UNDETERMINED = "und"
 
 LETTERS = regex.compile(r"\p{L}+")
