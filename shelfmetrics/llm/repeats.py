@@ -5,14 +5,13 @@ equals). It depends on the window's content alone, so equal windows have equal a
 the same distance. Consecutive windows mostly share their anchor; such a run, and the
 stretch of text it covers, is a phrase. Every window lies in exactly one phrase.
 
-1. Anchors are counted. Those that occur once belong to windows that occur once.
-2. Phrases of the repeated anchors are written. Equal phrases are equal windows throughout,
-   so a phrase with an earlier equal is settled as a whole. This goes band by band of the
-   anchors' hashes, so that one band's scratch data can go before the next one's come.
-3. What is left are the borders of repeated passages: phrases without an earlier equal whose
+1. Phrases are written. Equal phrases are equal windows throughout, so a phrase with an earlier
+   equal is settled as a whole. This goes band by band of the anchors' hashes, so that one band's
+   scratch data can go before the next one's come.
+2. What is left are the borders of repeated passages: phrases without an earlier equal whose
    anchor occurs in other phrases, too. Their windows are looked at one by one.
 
-Between passes the anchors (or places) to keep are sent as a bitmap, of 16 bits for each of them
+Between passes the places to keep are sent as a bitmap, of 16 bits for each of them
 and at most of a fixed size. It may let more through than asked for, never less; what comes
 through in excess finds no partner. Full bitmaps at very large inputs cost rows, one for each
 phrase at most, not results.
@@ -31,7 +30,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmetrics.llm.common import discard, written
@@ -41,7 +40,7 @@ from shelfmetrics.llm.symbols import U, mix, prefix, slices, stretches
 SLOT_BITS, SPARE = 28, 4
 #: Slots of one row while a bitmap is put together.
 SHARD_BITS = 16
-FLUSH = 2 << 20
+FLUSH = 1 << 20
 STEP = 1 << 18
 BANDS = 4
 PLACE_BITS = 24
@@ -226,55 +225,18 @@ def bitmap(rows: DataFrame, hashes, least: int, elements: int | None = None) ->
     return Bits(spark, out.ravel())
 
 
-def _hash_rows(hashes):
-    """(h, n): the distinct hashes(batch) of a task, and how often each was met."""
-
-    def rows(parts: list[np.ndarray]) -> pa.RecordBatch:
-        h, n = np.unique(np.concatenate(parts), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
-        for batch in batches:
-            for h in hashes(batch):
-                parts.append(h)
-                size += len(h)
-                if size >= FLUSH:
-                    yield rows(parts)
-                    parts, size = [], 0
-        if size:
-            yield rows(parts)
-
-    return run
-
-
 def hash_column(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     yield batch.column(0).to_numpy().view(np.uint64)
 
 
-def repeated_bitmap(rows: DataFrame, hashes) -> Bits:
-    """As bitmap() with least 2, but the hashes are counted in full, so that only those that are
-    met more than once take slots. It moves more, and lets much less through."""
-    counts = rows.mapInArrow(_hash_rows(hashes), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    repeated = written(counts.where("n > 1").select("h"), "repeated-hashes")
-    bits = bitmap(repeated, hash_column, 1, repeated.count())
-    discard(repeated)
-    return bits
-
-
-def _anchor_hashes(*args):
-    return lambda batch: (found.anchor for found, *_ in phrases(batch, *args))
-
-
 def _place_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     yield place(batch.column("id").to_numpy(), batch.column("low").to_numpy())
 
 
-def _phrases(args, anchors):
+def _phrases(args):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for found, ids, offset, _ in phrases(batch, *args):
-                found.keep(in_bitmap(anchors.value, found.anchor))
                 columns = [
                     found.anchor.view(np.int64),
                     found.content().view(np.int64),
@@ -290,57 +252,56 @@ def _phrases(args, anchors):
 
 
 class Repeats:
-    """All passes but the last over texts (id, text), id never null.
+    """The first pass over texts (id, text), id never null, and what follows from it.
 
-    later: the condition on id, low and first (struct of id and low of the earliest equal) that
-    makes a phrase or window a repeat. spans: tables (id, low, high) of what is settled;
-    several: tables of anchors of more than one content, with their number. Of the phrases of one
-    content that are no repeats, all in one text, the first stands for them; twins are tables
-    (id, low, high, first) of the others, which share what is found for it.
+    within: whether a phrase is a repeat, too, if its text has an equal one before it. spans: tables
+    (id, low, high) of what is settled; several: tables of anchors of more than one content, with
+    their number. Without `within`, of the phrases of one content in its first text the first
+    stands for all; twins are tables (id, low, high, first) of the others, which share what is found
+    for it.
     """
 
-    def __init__(
-        self,
-        texts: DataFrame,
-        symbolise: Symbolise,
-        length: int,
-        gram: int,
-        later: Callable[[Column, Column, Column], Column],
-    ):
+    def __init__(self, texts: DataFrame, symbolise: Symbolise, length: int, gram: int, within: bool):
         self.texts, self.args = texts, (symbolise, length, gram)
         self.spans: list[DataFrame] = []
         self.several: list[DataFrame] = []
         self.twins: list[DataFrame] = []
         borders: list[DataFrame] = []
-        self.anchors = repeated_bitmap(texts, _anchor_hashes(*self.args))
         schema = "anchor long, content long, id long, low long, count long"
-        found = texts.mapInArrow(_phrases(self.args, self.anchors), schema)
+        found = texts.mapInArrow(_phrases(self.args), schema)
         found = written(found.withColumn("band", F.pmod("anchor", F.lit(BANDS)).cast("int")), "phrases", ["band"])
+        content = ["anchor", "content"]
         for band in range(BANDS):
             rows = found.where(F.col("band") == band).drop("band")
-            firsts = rows.groupBy("anchor", "content").agg(
-                F.min(F.struct("id", "low")).alias("first"), F.count(F.lit(1)).alias("copies")
+            firsts = rows.groupBy(*content).agg(
+                F.min("id").alias("first"), F.min("low").alias("low"), F.count(F.lit(1)).alias("copies")
             )
             firsts = written(firsts, "first-phrases")
             several = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents"))
             several = written(several.where("contents > 1"), "several")
-            # tables on both sides of the join, so that adaptive execution can split hot phrases
-            known = written(firsts.where("copies > 1").select("anchor", "content", "first"), "known")
-            repeat = F.coalesce(later(F.col("id"), F.col("low"), F.col("first")), F.lit(False))
+            # the known side has each content once; tables on both sides of the join, so that
+            # adaptive execution can split hot phrases
+            known = written(firsts.where("copies > 1").select(*content, "first"), "known")
             high = F.col("low") + F.col("count") - 1 + length
-            marked = rows.join(known, ["anchor", "content"], "left").select(
-                "anchor", "id", "low", high.alias("high"), repeat.alias("repeat"),
-                F.when(F.col("low") != F.col("first.low"), F.col("first.low")).alias("first"),
+            again = rows.join(known.hint("shuffle_hash"), content).select(
+                *content, "id", "low", high.alias("high"), "first"
             )
-            marked = written(marked, "marked")
-            discard(firsts, known)
-            self.spans.append(written(marked.where("repeat").select("id", "low", "high"), "repeated"))
-            open_rows = marked.where("not repeat").join(several.select("anchor"), "anchor")
-            self.twins.append(written(open_rows.where("first is not null").select("id", "low", "high", "first"), "twins"))
-            border = open_rows.where("first is null")
+            again = written(again, "again")
+            self.spans.append(written(again.where("id > first").select("id", "low", "high"), "repeated"))
+            own = again.where("id = first").drop("first")
+            least = written(own.groupBy(*content, "id").agg(F.min("low").alias("first")), "least")
+            rest = own.join(least.drop("id").hint("shuffle_hash"), content).where(F.col("low") > F.col("first"))
+            rest = written(rest.select("id", "low", "high", "first"), "rest")
+            if within:
+                self.spans.append(rest)
+            else:
+                self.twins.append(rest)
+            single = firsts.where("copies = 1").select("anchor", F.col("first").alias("id"), "low")
+            border = single.unionAll(least.select("anchor", "id", F.col("first").alias("low")))
+            border = border.join(several.select("anchor").hint("shuffle_hash"), "anchor")
             borders.append(written(border.select("id", "low"), "border"))
             self.several.append(several)
-            discard(marked)
+            discard(firsts, known, again, least)
         discard(found)
         self.places = bitmap(together(borders), _place_hashes, 1, sum(b.count() for b in borders))
         discard(*borders)
@@ -348,18 +309,16 @@ class Repeats:
     def last_pass(self, make, schema: str, name: str) -> DataFrame:
         """Rows of make(borders) over the texts, written; borders(batch) gives phrases() of the
         border phrases."""
-        args, anchors, places = self.args, self.anchors, self.places
+        args, places = self.args, self.places
 
         def borders(batch: pa.RecordBatch) -> Iterator[tuple]:
             for found, ids, offset, source in phrases(batch, *args):
-                found.keep(in_bitmap(anchors.value, found.anchor))
                 at = place(ids[found.text], found.low + offset[found.text])
                 found.keep(in_bitmap(places.value, at))
                 if len(found.low):
                     yield found, ids, offset, source
 
         out = written(self.texts.mapInArrow(make(borders), schema), name)
-        anchors.release()
         places.release()
         return out
 
