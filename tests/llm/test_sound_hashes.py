@@ -8,10 +8,13 @@ import pytest
 
 import corpus_pipeline
 from conftest import TESTDATA
+from shelfmetrics import scratch
 from shelfmetrics.llm import (
     decontaminate,
+    fingerprints,
     language,
     licences,
+    line_dedup,
     ngram_join,
     repeats,
     substring_dedup,
@@ -101,6 +104,27 @@ def test_benchmark_in_several_blocks(spark):
     assert got == brute.leaks(docs, items)
 
 
+@pytest.mark.parametrize("module,run", [(line_dedup, line_dedup.digest), (fingerprints, fingerprints.digest)])
+def test_native_operators_use_no_python(spark, monkeypatch, module, run):
+    """Neither in what is returned, nor in what is written on the way."""
+    plans = []
+
+    def text(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def written(df, *args, **more):
+        plans.append(text(df))
+        return scratch.written(df, *args, **more)
+
+    monkeypatch.setattr(module, "written", written, raising=False)
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+    plans.append(text(run(docs)))
+    for plan in plans:
+        for node in ("Python", "Pandas", "InArrow", "Scan ExistingRDD"):
+            assert node not in plan or node == "Scan ExistingRDD" and "head_id" in plan
+    assert len(plans) > 1 or module is fingerprints
+
+
 # Licences
 
 
