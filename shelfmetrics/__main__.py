@@ -14,6 +14,7 @@ from shelfmetrics.operators.inventory import ROCKET
 from shelfmetrics.plans import bundles
 from shelfmetrics.session import get_session
 from shelfmetrics.sinks.files import write_report
+from shelfmetrics.sinks.publish import publish
 from shelfmetrics.sources.tables import read_table
 
 
@@ -29,6 +30,12 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--start", type=date.fromisoformat, help="default: 7 days before --as-of")
     parser.add_argument("--channel", default=ROCKET)
     parser.add_argument("--warehouse", default=ROCKET)
+    parser.add_argument(
+        "--publish", action="store_true", help="stage all tabs, then commit them at once by a manifest"
+    )
+    parser.add_argument(
+        "--stamp", help="time of the report, default: now; a lost --publish run goes on under its stamp"
+    )
     return parser.parse_args(argv)
 
 
@@ -52,9 +59,14 @@ def build(args: argparse.Namespace, table) -> bundles.Report:
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = get_session(f"shelfmetrics-{args.report}")
-    stamp = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    stamp = args.stamp or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     with build(args, lambda name: read_table(spark, args.dataset, name)) as report:
-        for tab, count in write_report(report, args.out, stamp).items():
+        if args.publish:
+            manifest = publish(report, args.out, stamp)
+            counts = {tab: told["rows"] for tab, told in manifest["tabs"].items()}
+        else:
+            counts = write_report(report, args.out, stamp)
+        for tab, count in counts.items():
             print(f"{tab}: {count} rows")
 
 
