@@ -299,7 +299,10 @@ def _exported(name: str, kind: str) -> Callable[[SparkSession, str], DataFrame]:
 def _conversations_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns as people might hand them in, some rows broken: those kept, and the others by reason."""
     cells = {
-        c: F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))
+        c: F.coalesce(
+            F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"')),
+            F.lit(""),
+        )
         for c in ("conv_id", "turn", "role", "text")
     }
     fault = F.pmod(F.col("conv_id") * 7 + F.col("turn"), F.lit(11))

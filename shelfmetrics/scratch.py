@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.maxConcurrentOutputFileWriters": "16",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
@@ -38,10 +39,11 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def _while_writing(spark: SparkSession) -> Iterator[None]:
-    """Spark deletes a query's shuffle files when it ends, not when the driver's memory is next
-    cleaned: what has been written to a table needs them no more. A few partitions are written
-    side by side, without a sort."""
+def settled(spark: SparkSession) -> Iterator[None]:
+    """For a query whose result is taken at once. Spark deletes its shuffle files when it ends, not
+    when the driver's memory is next cleaned: nothing needs them any more. A few partitions are
+    written side by side, without a sort. Rows go to Python in small batches, since texts are
+    long."""
     before = {key: spark.conf.get(key, None) for key in SETTINGS}
     try:
         for key, value in SETTINGS.items():
@@ -56,7 +58,7 @@ def written(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     """The rows of df as a table in the shared folder: cuts lineage and outlives executors."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    with _while_writing(spark):
+    with settled(spark):
         df.write.partitionBy(*(by or [])).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
