@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmetrics.scratch import discard, new_path, shared_dir, written
+from shelfmetrics.scratch import discard, new_path, settled, shared_dir, written
 
-__all__ = ["discard", "new_path", "shared_dir", "written"]
+__all__ = ["discard", "new_path", "settled", "shared_dir", "written"]
 
 #: Characters that separate words and are stripped from lines: [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmetrics.llm.common import discard, written
+from shelfmetrics.llm.common import discard, settled, written
 from shelfmetrics.llm.symbols import U, mix, prefix, slices, stretches
 
 #: Bitmaps have 2^28 bits, 32 MB, at most; 2^SPARE for each element, if that is less.
@@ -41,7 +41,9 @@ SLOT_BITS, SPARE = 28, 4
 #: Slots of one row while a bitmap is put together.
 SHARD_BITS = 16
 FLUSH = 1 << 20
-STEP = 1 << 18
+#: Texts are searched in slices of so many bytes, and long ones in stretches of so many symbols: a
+#: slice's arrays are a dozen times its symbols at eight bytes each.
+SEARCH_BYTES, STEP = 1 << 19, 1 << 18
 BANDS = 4
 PLACE_BITS = 24
 
@@ -101,7 +103,7 @@ def phrases(batch: pa.RecordBatch, symbolise: Symbolise, length: int, gram: int)
     ids by text; the place of a symbol within its text is its place plus offset[text]; low is the
     stretch's place in the slice's symbols. Long texts are cut at multiples of STEP of their own symbols,
     with enough overlap that no window is lost."""
-    for part, raw, offsets in slices(batch, "text"):
+    for part, raw, offsets in slices(batch, "text", SEARCH_BYTES):
         symbols, first = symbolise(raw, offsets)
         ids = part.column("id").to_numpy()
         k, texts = 0, part.num_rows
@@ -220,7 +222,9 @@ def bitmap(rows: DataFrame, hashes, least: int, elements: int | None = None) ->
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     joined = parts.repartition(n, "shard").mapInArrow(_joined_slots, "shard int, bits binary")
     out = np.zeros((1 << (bits - SHARD_BITS), 1 << (SHARD_BITS - 3)), dtype=np.uint8)
-    for shard, own in zip(*(c.to_pylist() for c in joined.toArrow().columns), strict=True):
+    with settled(spark):
+        shards = joined.toArrow()
+    for shard, own in zip(*(c.to_pylist() for c in shards.columns), strict=True):
         out[shard] = np.frombuffer(own, np.uint8)
     return Bits(spark, out.ravel())
 

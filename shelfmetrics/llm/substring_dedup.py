@@ -1,13 +1,15 @@
-"""Substring dedup over words: a relative Lempel-Ziv parse against indexed phrases.
-
-The reference is all text that starts earlier. Its index holds phrases cut by content
-(see repeats), in blocks dealt by hash, and knows each phrase's earliest place. A document
-is factored greedily: phrase by phrase, a run of phrases found in the index at earlier places
-is a factor, as long as it goes. A window that straddles the end of a factor is in no factor, so the windows at factor boundaries, and only they, are looked up
-one by one. All words in factors or in windows found are duplicate spans.
-
-Comparing every document with every block's text would be quadratic; the index lookups are
-joins by hash and linear. Phrases and windows are known by two 64-bit hashes.
+"""Substring dedup over words: a relative parse of each text against all text before it.
+
+The reference is all text that starts earlier, in blocks dealt by the hash of anchors. It is
+indexed by phrases, which the content cuts (see repeats), and knows each phrase's earliest place.
+A text is parsed from left to right: a run of phrases that the index knows from earlier places is
+a factor, as long as it goes on. A window that straddles the end of a factor lies in none, so the
+windows at factor ends, and only they, are looked up one by one. Words in factors or in windows
+found are duplicate spans.
+
+What this is not: no text is compared with the text of a block letter by letter, which would be
+quadratic. Phrases are looked up in one join and known by their hash under a key drawn for each
+run, windows by two hashes under two keys.
 """
 
 from __future__ import annotations
