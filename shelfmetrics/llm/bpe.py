@@ -15,8 +15,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import sys
-import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmetrics.llm.common import worker_cache
 from shelfmetrics.llm.symbols import slices
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -204,7 +203,7 @@ def _places(sizes: np.ndarray) -> np.ndarray:
 
 def codec(ranks: dict[bytes, int], pattern: str) -> Codec:
     """This worker process's codec; it outlives a task, so later tasks know its pieces."""
-    kept = sys.modules.setdefault("worker_codecs", types.ModuleType("worker_codecs")).__dict__
+    kept = worker_cache("bpe")
     key = f"{hash((pattern, *ranks.items()))}"
     if key not in kept:
         kept[key] = Codec(ranks, pattern)

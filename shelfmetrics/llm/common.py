@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +43,12 @@ def words(text: Column) -> Column:
 def pipe(value: Column, then) -> Column:
     """then(value), with value computed once."""
     return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def worker_cache(operator: str) -> dict:
+    """What an operator keeps in this worker process from task to task. Workers are used again by
+    other stages: what another operator has kept goes then."""
+    kept = sys.modules.setdefault("worker_caches", types.ModuleType("worker_caches")).__dict__.setdefault("of", {})
+    for other in [o for o in kept if o != operator]:
+        del kept[other]
+    return kept.setdefault(operator, {})

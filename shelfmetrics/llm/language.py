@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmetrics.llm.common import written
+from shelfmetrics.llm.common import worker_cache, written
 from shelfmetrics.llm.symbols import U, mix, slices
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -226,6 +226,7 @@ def train(
 
 def _predict(model: Model, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("language")
         pieces = Pieces(model.pieces)
         known: dict[str, int] = {}
         scores = np.zeros((0, max(1, len(model.languages))))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmetrics.llm import symbols
-from shelfmetrics.llm.common import discard, written
+from shelfmetrics.llm.common import discard, worker_cache, written
 from shelfmetrics.llm.repeats import Documents, bitmap, chosen, id_hashes, in_bitmap, place
 from shelfmetrics.llm.symbols import BLANK, LOWER, U, mix
 
@@ -42,6 +42,7 @@ PARTS = 3
 
 def shingle_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple]:
     """(rows, list of sets) of a batch with a column text; a set is a sorted array of hashes."""
+    worker_cache("ngram")
     for part, raw, offsets in symbols.slices(batch, "text"):
         raw = LOWER[raw]
         start, end, first = symbols.words(raw, offsets, BLANK)
