@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmetrics.llm.common import worker_cache
+from shelfmetrics.llm.common import Carried, worker_cache
 from shelfmetrics.llm.symbols import slices
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -210,7 +210,7 @@ def codec(ranks: dict[bytes, int], pattern: str) -> Codec:
     return kept[key]
 
 
-def _code(ranks: dict[bytes, int], pattern: str):
+def _code(ranks: dict[bytes, int], pattern: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks, pattern)
         for batch in batches:
@@ -218,17 +218,17 @@ def _code(ranks: dict[bytes, int], pattern: str):
                 done = list(own.texts(part.column("text").to_pylist()))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("row"),
+                        *(part.column(n) for n in names),
                         pa.array([a for a, _ in done], pa.binary()),
                         pa.array([b for _, b in done], pa.binary()),
                     ],
-                    ["row", "ids", "decoded"],
+                    [*names, "ids", "decoded"],
                 )
 
     return run
 
 
-def _digest(ranks: dict[bytes, int], pattern: str):
+def _digest(ranks: dict[bytes, int], pattern: str, names: list[str]):
     """As _code, but with hashes in place of ids and bytes, which then need not leave the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,18 +241,18 @@ def _digest(ranks: dict[bytes, int], pattern: str):
                 ]
                 columns = list(zip(*done, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), pa.array(columns[0], pa.int64()), pa.array(columns[1]), pa.array(columns[2])],
-                    ["row", "n_tokens", "ids_sha256", "decoded_sha256"],
+                    [
+                        *(part.column(n) for n in names),
+                        pa.array(columns[0], pa.int64()),
+                        pa.array(columns[1]),
+                        pa.array(columns[2]),
+                    ],
+                    [*names, "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
     return run
 
 
-def _rows(docs: DataFrame, text_col: str, carry: list[str] | None) -> DataFrame:
-    row = F.struct(*[F.col(c) for c in (docs.columns if carry is None else carry)])
-    return docs.select(row.alias("row"), F.col(text_col).cast("string").alias("text"))
-
-
 def encode_decode(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None, ranks_path: str | None = None) -> DataFrame:
     """Returns per row of docs: `row` (the columns in carry; all by default), ids (binary: token
     ids as little-endian unsigned 32-bit integers) and decoded (the bytes decoded from them).
@@ -260,19 +260,22 @@ def encode_decode(docs: DataFrame, text_col: str = "text", carry: list[str] | No
     A null or empty text has no tokens. Repeated rows are coded alike; an empty table gives no
     rows. Special tokens in a text are ordinary text.
     """
-    own = _rows(docs, text_col, carry)
+    carried = Carried(docs, text_col, carry)
+    own = carried.sent(docs)
     binary = F.lit(b"")
-    schema = own.select("row", binary.alias("ids"), binary.alias("decoded")).schema
-    return own.mapInArrow(_code(load_ranks(ranks_path), split_pattern()), schema)
+    schema = own.select(*carried.names, binary.alias("ids"), binary.alias("decoded")).schema
+    coded = own.mapInArrow(_code(load_ranks(ranks_path), split_pattern(), carried.names), schema)
+    return coded.select(carried.whole().alias("row"), "ids", "decoded")
 
 
 def token_digests(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None, ranks_path: str | None = None) -> DataFrame:
     """As encode_decode, with n_tokens, ids_sha256 and decoded_sha256 in place of the bytes."""
-    own = _rows(docs, text_col, carry)
-    schema = own.select(
-        "row", F.lit(0).cast("long").alias("n_tokens"), F.lit("").alias("ids_sha256"), F.lit("").alias("decoded_sha256")
-    ).schema
-    return own.mapInArrow(_digest(load_ranks(ranks_path), split_pattern()), schema)
+    carried = Carried(docs, text_col, carry)
+    own = carried.sent(docs)
+    hashes = [F.lit("").alias("ids_sha256"), F.lit("").alias("decoded_sha256")]
+    schema = own.select(*carried.names, F.lit(0).cast("long").alias("n_tokens"), *hashes).schema
+    coded = own.mapInArrow(_digest(load_ranks(ranks_path), split_pattern(), carried.names), schema)
+    return coded.select(carried.whole().alias("row"), "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def digest(docs: DataFrame) -> DataFrame:

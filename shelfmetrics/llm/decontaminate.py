@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmetrics.llm import symbols
-from shelfmetrics.llm.common import written
+from shelfmetrics.llm.common import Carried, written
 from shelfmetrics.llm.symbols import LOWER, NOT_ALNUM, U
 
 WINDOW = 10
@@ -200,10 +200,10 @@ def find_leaks(
     strings, in ascending order). A null text has no words. Items of no words test nothing.
     Repeated rows and items change nothing; empty tables give no rows or no hits.
     """
-    row = F.struct(*[F.col(c) for c in (docs.columns if carry is None else carry)])
-    state = docs.select(
-        row.alias("row"),
-        F.col(text_col).cast("string").alias("text"),
+    carried = Carried(docs, text_col, carry)
+    state = carried.sent(docs).select(
+        "row",
+        "text",
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<bigint>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
@@ -212,7 +212,7 @@ def find_leaks(
         if k:  # the block before is done with, in the driver and in the tasks
             state = written(state, "leaks-so-far")
         state = state.mapInArrow(_search(items, window), state.schema)
-    return state.drop("text")
+    return state.select(carried.whole().alias("row"), "n_words", "spans", "items")
 
 
 def hit_words(spans):

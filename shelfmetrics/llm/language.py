@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmetrics.llm.common import worker_cache, written
+from shelfmetrics.llm.common import Carried, worker_cache, written
 from shelfmetrics.llm.symbols import U, mix, slices
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -267,19 +267,11 @@ def predict(
     Texts that are null or have no letter get `und` and score 0, as do all texts if the model
     has learned no language. Equal likelihoods: the first language by name.
     """
-    carry = docs.columns if carry is None else carry
-    # the text goes to Python and back once, even if it is carried
-    once = text_col in carry and docs.schema[text_col].dataType.typeName() == "string"
-    others = [F.col(f"`{c}`") for c in carry if not (once and c == text_col)] or [F.lit(0).alias("none")]
-    own = docs.select(F.struct(*others).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    names = ["row", "text"] if once else ["row"]
-    schema = own.select(*names, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    done = own.mapInArrow(_predict(model, names), schema)
-    if not once:
-        return done
-    fields = [F.col("text") if c == text_col else F.col(f"row.`{c}`") for c in carry]
-    row = F.struct(*[f.alias(c) for f, c in zip(fields, carry, strict=True)])
-    return done.select(row.alias("row"), "lang_pred", "score")
+    carried = Carried(docs, text_col, carry)
+    own = carried.sent(docs)
+    schema = own.select(*carried.names, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    done = own.mapInArrow(_predict(model, carried.names), schema)
+    return done.select(carried.whole().alias("row"), "lang_pred", "score")
 
 
 def fold(doc_id):

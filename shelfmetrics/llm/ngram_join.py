@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmetrics.llm import symbols
-from shelfmetrics.llm.common import discard, worker_cache, written
+from shelfmetrics.llm.common import Carried, discard, worker_cache, written
 from shelfmetrics.llm.repeats import Documents, bitmap, chosen, id_hashes, in_bitmap, place
 from shelfmetrics.llm.symbols import BLANK, LOWER, U, mix
 
@@ -38,6 +38,8 @@ SHINGLE = 4
 PERCENT = 85
 SLACK = 1
 PARTS = 3
+#: Bitmaps of ids get so many times the usual room: a row let through in excess costs a whole text.
+SPARSE = 8
 
 
 def shingle_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple]:
@@ -60,8 +62,8 @@ def shingle_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple]:
         yield part, sets
 
 
-def _set_hashes(size: int):
-    """Rows with id, n and two hashes of the set."""
+def _set_hashes(size: int, names: list[str]):
+    """Rows (the columns named) with id, n and two hashes of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -70,13 +72,13 @@ def _set_hashes(size: int):
                 others = [int(mix(s ^ U(0x5851F42D4C957F2D)).sum(dtype=U)) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("row"),
+                        *(part.column(n) for n in names),
                         part.column("id"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(np.array(sums, U).view(np.int64)),
                         pa.array(np.array(others, U).view(np.int64)),
                     ],
-                    ["row", "id", "n", "s1", "s2"],
+                    [*names, "id", "n", "s1", "s2"],
                 )
 
     return run
@@ -178,7 +180,7 @@ def _similar(size: int, percent: int):
 
 def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, name: str) -> DataFrame:
     """The pairs (a, b) whose sets are similar, each compared in full."""
-    wanted = bitmap(pairs.select("a").unionAll(pairs.select("b")), id_hashes, 1)
+    wanted = bitmap(pairs.select("a").unionAll(pairs.select("b")), id_hashes, 1, SPARSE * 2 * pairs.count())
     own = texts.mapInArrow(chosen(wanted, True), "id long, text string").dropDuplicates(["id"])
     own = written(own, "candidate-texts")
     wanted.release()
@@ -234,7 +236,7 @@ def profiles(ids: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """(id, profile): how many of a document's shingles fall into each of 64 parts of the domain,
     which go by how many of the given documents have the shingle, and by hash. Shingles that no
     other of them has are in no part. Two sets share at most what both have in each part."""
-    bits = bitmap(ids, id_hashes, 1)
+    bits = bitmap(ids, id_hashes, 1, SPARSE * ids.count())
     rows = texts.mapInArrow(_shingle_rows(size, bits), "shingle long, id long").distinct()
     rows = written(rows, "open-shingles")
     counts = written(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1"), "shingle-counts")
@@ -267,7 +269,7 @@ def _could(a: str, b: str, percent: int) -> Column:
 
 def link_labels(texts: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """(id, label) of the classes that are similar to others: the least id they can reach."""
-    reps = bitmap(classes.where("n > 0").select("id"), id_hashes, 1)
+    reps = bitmap(classes.where("n > 0").select("id"), id_hashes, 1, SPARSE * classes.count())
     common = bitmap(texts, _rep_shingles(size, reps), 2)
     rows = texts.mapInArrow(_signature_rows(size, percent, reps, common), "sig long, id long, n long, m long")
     rows = written(rows.dropDuplicates(["sig", "id"]), "signatures")
@@ -321,11 +323,12 @@ def join_similar(
     get no class or component; rows of an id whose text differs from the one that stands for
     it (see Documents) are their own component. Empty tables give no rows.
     """
-    documents = Documents(docs, id_col, text_col, carry)
+    carried = Carried(docs, text_col, carry)
+    documents = Documents(docs, id_col, text_col, carried.others)
     given = documents.rows.select("row", F.col(f"row.{id_col}").cast("long").alias("given"), "id", "text")
     packed = given.select(F.struct("row", "given").alias("row"), "id", "text")
-    schema = packed.select("row", "id", *[F.lit(0).cast("long").alias(c) for c in ("n", "s1", "s2")]).schema
-    sets = written(packed.mapInArrow(_set_hashes(size), schema), "sets")
+    schema = packed.select(*carried.names, "id", *[F.lit(0).cast("long").alias(c) for c in ("n", "s1", "s2")]).schema
+    sets = written(packed.mapInArrow(_set_hashes(size, carried.names), schema), "sets")
     known = sets.where("id is not null and n > 0")
     classes = written(known.groupBy("s1", "s2").agg(F.min("id").alias("id"), F.first("n").alias("n")), "classes")
     labels = link_labels(documents.texts, classes, size, percent)
@@ -339,7 +342,7 @@ def join_similar(
         classes.withColumnsRenamed({"s1": "k1", "s2": "k2"}), ["k1", "k2"], "left"
     )
     return out.select(
-        F.col("row.row").alias("row"),
+        carried.whole("row.row").alias("row"),
         F.col("n").alias("n_shingles"),
         F.coalesce("class_id", "row.given").alias("class_id"),
         F.coalesce("label", "row.given").alias("component_id"),

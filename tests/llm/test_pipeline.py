@@ -66,3 +66,34 @@ def test_clean_rows_stay(spark):
     assert corpus_pipeline.identify_language(spark, docs, SF).count() == 3
     kept = corpus_pipeline.keep_one_of_similar(spark, docs, SF).collect()
     assert sorted(r.text for r in kept) == sorted({t for _, t in rows})
+
+
+def test_texts_go_to_python_once(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kind, sent = type(docs), []
+    plain = kind.mapInArrow
+
+    def spied(self, *args, **more):
+        sent.append(self.schema.json())
+        return plain(self, *args, **more)
+
+    monkeypatch.setattr(kind, "mapInArrow", spied)
+    for name, stage in corpus_pipeline.STAGES:
+        sent.clear()
+        stage(spark, docs, SF)
+        assert sent or name == "line dedup"
+        assert [name for s in sent if s.count('"name":"text"') > 1] == []
+
+
+def test_stages_send_small_batches(spark):
+    key = corpus_pipeline.BATCH
+    before = spark.conf.get(key)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    try:
+        for stage in (corpus_pipeline.identify_language, corpus_pipeline.drop_contaminated, corpus_pipeline.tokenise):
+            for given, then in (("10000", "2000"), ("300", "300")):
+                spark.conf.set(key, given)
+                stage(spark, docs, SF)
+                assert spark.conf.get(key) == then
+    finally:
+        spark.conf.set(key, before)
