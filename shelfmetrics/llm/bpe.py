@@ -28,9 +28,9 @@ from shelfmetrics.llm.symbols import slices
 
 RANKS = "byte_bpe_50k.tiktoken"
 LONG = 256
-#: Bytes of pieces in one query, and pieces a task remembers.
+#: Bytes of pieces in one query, and pieces beyond which a task begins to forget those not met again.
 QUERY_BYTES = 400_000
-CACHED_PIECES = 500_000
+CACHED_PIECES = 150_000
 
 #: Rows are tokens, linked to the next token of their piece: its place j and id nid. The pairs'
 #: ranks are ids; with a place below 512 they pack into one number, whose least is the pair to
@@ -85,7 +85,10 @@ class Codec:
         import duckdb
 
         self.ranks, self.split = ranks, regex.compile(pattern).findall
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        # ids by piece, and what they decode to where that is not the piece itself
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.other: dict[str, bytes] = {}
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
         self.db.execute("SET preserve_insertion_order = false")
@@ -181,19 +184,27 @@ class Codec:
         for at in range(0, len(raw), 50_000):
             some = coded[at : at + 50_000]
             for piece, ids, text in zip(pieces[at : at + 50_000], some, self.decode(some), strict=True):
-                self.known[piece] = (ids.astype("<u4").tobytes(), text)
+                self.known[piece] = ids.astype("<u4").tobytes()
+                if text != piece.encode():
+                    self.other[piece] = text
 
     def texts(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
         """(ids as little-endian unsigned 32-bit integers, bytes decoded from them) of each text."""
         cut = [self.split(t) if t else [] for t in texts]
         if len(self.known) > CACHED_PIECES:
-            self.known = {}
+            self.older, self.known = self.known, {}
         new = set().union(*cut).difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update((p, self.older[p]) for p in again)
+        new -= again
         if new:
             self.learn(sorted(new))
         for ps in cut:
-            pairs = [self.known[p] for p in ps]
-            yield b"".join([a for a, _ in pairs]), b"".join([b for _, b in pairs])
+            ids = b"".join([self.known[p] for p in ps])
+            if self.other:
+                yield ids, b"".join([self.other[p] if p in self.other else p.encode() for p in ps])
+            else:
+                yield ids, "".join(ps).encode()
 
 
 def _places(sizes: np.ndarray) -> np.ndarray:

@@ -257,3 +257,15 @@ def test_leaks_of_empty_tables(spark):
     rows = decontaminate.digest(docs, none).collect()
     assert {(r.n_hit, r.n_items, r.contaminated) for r in rows} == {(0, 0, False)}
     assert decontaminate.digest(brute.frame(spark, []), none).count() == 0
+
+
+def test_pieces_met_again_stay_known(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_PIECES", 3)
+    own = bpe.Codec(bpe.load_ranks(), bpe.split_pattern())
+    learnt = []
+    monkeypatch.setattr(own, "learn", lambda pieces, learn=own.learn: (learnt.extend(pieces), learn(pieces)))
+    texts = [f"zqxwv {k}zzqké 雪{k} zqxwv" for k in range(8)]
+    got = [next(own.texts([t])) for t in texts]
+    assert learnt.count("zqxwv") == 1 and len(own.known) + len(own.older) < len(set(learnt))
+    fresh = bpe.Codec(bpe.load_ranks(), bpe.split_pattern())
+    assert got == list(fresh.texts(texts)) and [b.decode() for _, b in got] == texts
