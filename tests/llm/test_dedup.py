@@ -143,3 +143,45 @@ def test_empty_tables(spark):
     assert [r["n_removed"] for r in substring_dedup.remove_repeats(blank).collect()] == [0, 0]
     assert [r["n_removed"] for r in suffix_dedup.remove_repeats(blank).collect()] == [0, 0]
     assert {r["component_id"] for r in ngram_join.join_similar(blank).collect()} == {1, 2}
+
+
+def test_suffixes_are_merged_within_their_first_bytes(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    text = rng.integers(0, 256, 4000, dtype=np.uint8)
+    text[2000:2100] = text[100:200]
+    own = suffix_dedup.SuffixSort(text, 40)
+    at, compared = np.arange(len(text) - 40), []
+    less = own.less
+    monkeypatch.setattr(own, "less", lambda x, y, equal: (compared.append(len(x)), less(x, y, equal))[1])
+    order, begin = own.classes(at, np.zeros(len(at), np.int64))
+    found = [text[k : k + 40].tobytes() for k in order.tolist()]
+    assert found == sorted(found) and len(begin) == len(set(found)) < len(found)
+    assert sum(compared) < len(at)  # before, every suffix took part in a dozen merges
+
+
+def test_phrases_one_by_one():
+    import numpy as np
+
+    from shelfmetrics.llm import symbols
+
+    rng = np.random.default_rng(4)
+    sizes = [0, 3, 12, 13, 90, 0, 60, 11, 0]
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    values = symbols.mix(rng.integers(0, 4, first[-1]).astype(np.uint64) + np.uint64(9))
+    sums, length, gram = symbols.prefix(values), 12, 5
+    for own in (len(values), 40):
+        got = repeats.Phrases(sums, first, own, length, gram)
+        at = np.arange(len(values) - gram + 1)
+        grams, mask = symbols.stretches(sums, at, at + gram), (1 << repeats.PLACE_BITS) - 1
+        want = []
+        for k in range(len(sizes)):
+            for w in range(first[k], min(first[k + 1] - length + 1, own)):
+                anchor = min(range(w, w + length - gram + 1), key=lambda j: (int(grams[j]) & ~mask, j))
+                if want and want[-1][0] == k and want[-1][3] == anchor:
+                    want[-1][2] += 1
+                else:
+                    want.append([k, w, 1, anchor])
+        assert [list(x) for x in zip(got.text, got.low, got.count, got.low + got.reach, strict=True)] == want
+        assert got.anchor.tolist() == [int(grams[x[3]]) for x in want]
