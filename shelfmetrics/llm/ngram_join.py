@@ -4,6 +4,9 @@ Documents of equal shingle sets form a class; classes, each by its least id, are
 
 1. A shingle that no other class has lowers what a class can share with any other. Classes
    that are left with too little to reach the threshold link with nothing and go no further.
+   Half of the domain is looked at, the other half counts as shared: shingles are dealt by their
+   hash, by the million in one row, so that it is known of each whether another class has it,
+   at any size of the corpus.
 2. Sizes are cut into bands of ratio 1 / threshold. Two similar sets lie in one band or in
    neighbouring ones and differ in at most k elements, k fixed by the band. The domain is
    dealt into first-level partitions, so many that the sets differ by at most `SLACK` in one
@@ -26,12 +29,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmetrics.llm import symbols
 from shelfmetrics.llm.common import Carried, discard, worker_cache, written
-from shelfmetrics.llm.repeats import Documents, bitmap, chosen, id_hashes, in_bitmap, place
+from shelfmetrics.llm.repeats import Documents, bitmap, chosen, hash_column, id_hashes, in_bitmap
 from shelfmetrics.llm.symbols import BLANK, LOWER, U, mix
 
 SHINGLE = 4
@@ -40,6 +44,9 @@ SLACK = 1
 PARTS = 3
 #: Bitmaps of ids get so many times the usual room: a row let through in excess costs a whole text.
 SPARSE = 8
+#: Documents are dealt in groups of about so many shingles, and of so many documents at most (their
+#: places take 16 bits), into buckets of about so many shingles.
+GROUP_SHINGLES, GROUP_DOCS, BUCKET_SHINGLES = 1 << 20, 1 << 16, 2 << 20
 
 
 def shingle_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple]:
@@ -84,6 +91,18 @@ def _set_hashes(size: int, names: list[str]):
     return run
 
 
+def _in_classes(bits, inside: bool):
+    """The rows whose set's hash is in a bitmap, or those whose is not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = in_bitmap(bits.value, batch.column("s1").to_numpy().view(np.uint64)) == inside
+            if own.any():
+                yield batch if own.all() else batch.filter(pa.array(own))
+
+    return run
+
+
 def reaches(shared, x, y, percent: int):
     """Whether sets of sizes x and y that share so many elements are similar."""
     return shared * (100 + percent) >= percent * (x + y)
@@ -123,39 +142,114 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, U)
 
 
-def _rep_shingles(size: int, reps):
-    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for part, sets in shingle_sets(batch, size):
-            own = in_bitmap(reps.value, place(part.column("id").to_numpy(), np.zeros(part.num_rows, np.int64)))
-            chosen = [s for s, keep in zip(sets, own, strict=True) if keep and len(s)]
-            if chosen:
-                yield np.concatenate(chosen)
-
-    return hashes
+def _dealt_group(ids: list[int], sets: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    """A row for each bucket that the shingles of a group of documents fall into: hashes and the places
+    of their documents in the group. Bucket 0 has a row in any case, which brings the documents:
+    their ids, how many shingles they have, and how many of them were dealt."""
+    own = [s[s & U(1) == 0] for s in sets]
+    dealt = np.array([len(s) for s in own], np.int64)
+    every = np.concatenate(own)
+    bucket = ((every >> U(33)) * U(buckets)) >> U(31)
+    order = np.argsort(bucket.astype(np.uint16 if buckets <= 1 << 16 else np.uint32), kind="stable")
+    hashes = ((every >> U(1)) & U(0xFFFFFFFF)).astype("<u4")[order]
+    docs = np.repeat(np.arange(len(own)), dealt).astype("<u2")[order]
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=U))
+    full = np.flatnonzero(np.diff(cuts))
+    full = full if len(full) and full[0] == 0 else np.append(0, full)
+    known = np.stack([np.array(ids, np.int64), np.array([len(s) for s in sets], np.int64), dealt]).astype("<i8")
+    key = int(mix(mix(known[0].astype(U)) + np.arange(len(ids), dtype=U)).sum(dtype=U).view(np.int64))
+    spans = [(int(cuts[k]), int(cuts[k + 1])) for k in full]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(full, pa.int64()),
+            pa.array(np.full(len(full), key), pa.int64()),
+            pa.array([known.tobytes(), *[None] * (len(full) - 1)], pa.binary()),
+            pa.array([hashes[x:y].tobytes() for x, y in spans], pa.binary()),
+            pa.array([docs[x:y].tobytes() for x, y in spans], pa.binary()),
+        ],
+        ["bucket", "group", "known", "hashes", "docs"],
+    )
 
 
-def _signature_rows(size: int, percent: int, reps, common):
-    """(sig, id, n, m) of classes that can reach the threshold; m shingles may be shared."""
+def _dealt(size: int, reps, buckets: int):
+    """The shingles of classes, in groups of documents, dealt into buckets by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        ids, held, count = [], [], 0
+        for batch in chosen(reps, True)(batches):
             for part, sets in shingle_sets(batch, size):
-                ids = part.column("id").to_numpy()
-                own = in_bitmap(reps.value, place(ids, np.zeros(len(ids), np.int64)))
-                columns: list[list[np.ndarray]] = [[], [], [], []]
-                for k in np.flatnonzero(own):
-                    n = len(sets[k])
-                    m = int(in_bitmap(common.value, sets[k]).sum())
-                    # a partner holds m elements at least, and at best no others
-                    if not n or not reaches(m, n, m, percent):
+                for k, s in zip(part.column("id").to_pylist(), sets, strict=True):
+                    if not len(s):
                         continue
-                    sig = signatures(sets[k], percent)
-                    for column, value in zip(columns, (sig.view(np.int64), ids[k], n, m), strict=True):
-                        column.append(np.broadcast_to(value, len(sig)))
-                if columns[0]:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(c), pa.int64()) for c in columns], ["sig", "id", "n", "m"]
-                    )
+                    ids.append(k)
+                    held.append(s)
+                    count += len(s)
+                    if count >= GROUP_SHINGLES or len(ids) == GROUP_DOCS:
+                        yield _dealt_group(ids, held, buckets)
+                        ids, held, count = [], [], 0
+        if ids:
+            yield _dealt_group(ids, held, buckets)
+
+    return run
+
+
+def _met_again(block: pa.Table) -> pa.Table:
+    """Of a bucket the places of documents, one for each shingle that is there more than once."""
+    parts = [np.frombuffer(x, "<u4") for x in block.column("hashes").to_pylist()]
+    every = np.concatenate(parts)
+    order = np.argsort(every)
+    equal = np.diff(every[order]) == 0
+    again = np.zeros(len(every), bool)
+    again[order[1:][equal]] = True
+    again[order[:-1][equal]] = True
+    cuts = np.cumsum([0, *(len(x) for x in parts)])
+    docs = []
+    for x, a, b in zip(block.column("docs").to_pylist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        docs.append(np.frombuffer(x, "<u2")[again[a:b]].tobytes())
+    told = pa.array([bool(x) for x in docs])
+    out = pa.table([block.column("group"), block.column("known"), pa.array(docs, pa.binary())], ["group", "known", "docs"])
+    return out.filter(pc.or_(block.column("known").is_valid(), told))
+
+
+def _able(percent: int):
+    """(id, m) of the classes of a group that can reach the threshold; m shingles may be shared."""
+
+    def run(block: pa.Table) -> pa.Table:
+        known = next(x for x in block.column("known").to_pylist() if x is not None)
+        ids, n, dealt = np.frombuffer(known, "<i8").reshape(3, -1)
+        again = np.concatenate([np.frombuffer(x, "<u2") for x in block.column("docs").to_pylist()])
+        m = np.minimum(n, n - dealt + np.bincount(again, minlength=len(ids)))
+        # a partner holds m elements at least, and at best no others
+        keep = reaches(m, n, m, percent)
+        return pa.table([pa.array(ids[keep], pa.int64()), pa.array(m[keep], pa.int64())], ["id", "m"])
+
+    return run
+
+
+def able(texts: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """(id, n, m) of the classes that can reach the threshold with any other."""
+    known = classes.where("n > 0")
+    number, total = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    buckets = max(1, -(-int(total) // (2 * BUCKET_SHINGLES)))
+    reps = bitmap(known.select("id"), id_hashes, 1, SPARSE * number)
+    dealt = texts.mapInArrow(_dealt(size, reps, buckets), "bucket long, group long, known binary, hashes binary, docs binary")
+    again = dealt.groupBy("bucket").applyInArrow(_met_again, "group long, known binary, docs binary")
+    found = again.groupBy("group").applyInArrow(_able(percent), "id long, m long")
+    found = written(found.groupBy("id").agg(F.max("m").alias("m")).join(known.select("id", "n"), "id"), "able-classes")
+    reps.release()
+    return found.select("id", "n", "m")
+
+
+def _signature_rows(size: int, percent: int, wanted):
+    """(sig, id) of the documents whose id is in a bitmap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chosen(wanted, True)(batches):
+            for part, sets in shingle_sets(batch, size):
+                found = [signatures(s, percent) if len(s) else np.zeros(0, U) for s in sets]
+                ids = np.repeat(part.column("id").to_numpy(), [len(x) for x in found])
+                every = np.concatenate(found).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(every), pa.array(ids, pa.int64())], ["sig", "id"])
 
     return run
 
@@ -269,12 +363,11 @@ def _could(a: str, b: str, percent: int) -> Column:
 
 def link_labels(texts: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """(id, label) of the classes that are similar to others: the least id they can reach."""
-    reps = bitmap(classes.where("n > 0").select("id"), id_hashes, 1, SPARSE * classes.count())
-    common = bitmap(texts, _rep_shingles(size, reps), 2)
-    rows = texts.mapInArrow(_signature_rows(size, percent, reps, common), "sig long, id long, n long, m long")
-    rows = written(rows.dropDuplicates(["sig", "id"]), "signatures")
-    reps.release()
-    common.release()
+    known = able(texts, classes, size, percent)
+    wanted = bitmap(known.select("id"), id_hashes, 1, SPARSE * known.count())
+    rows = texts.mapInArrow(_signature_rows(size, percent, wanted), "sig long, id long")
+    rows = written(rows.dropDuplicates(["sig", "id"]).join(known, "id").select("sig", "id", "n", "m"), "signatures")
+    wanted.release()
     central = F.struct((F.col("m") / F.col("n")).alias("part"), (-F.col("id")).alias("minus"), "id", "n", "m")
     buckets = rows.groupBy("sig").agg(F.max(central).alias("hub"), F.min("id").alias("low"), F.max("id").alias("high"))
     buckets = written(buckets.where("low < high").select("sig", "hub"), "buckets")
@@ -330,18 +423,25 @@ def join_similar(
     schema = packed.select(*carried.names, "id", *[F.lit(0).cast("long").alias(c) for c in ("n", "s1", "s2")]).schema
     sets = written(packed.mapInArrow(_set_hashes(size, carried.names), schema), "sets")
     known = sets.where("id is not null and n > 0")
-    classes = written(known.groupBy("s1", "s2").agg(F.min("id").alias("id"), F.first("n").alias("n")), "classes")
-    labels = link_labels(documents.texts, classes, size, percent)
-    classes = classes.join(labels, "id", "left").select(
-        "s1", "s2", F.col("id").alias("class_id"), F.coalesce("label", "id").alias("label")
+    classes = known.groupBy("s1", "s2").agg(
+        F.min("id").alias("id"), F.first("n").alias("n"), (F.min("id") < F.max("id")).alias("several")
     )
-    classes = written(classes, "labelled-classes")
-    linked = F.col("id").isNotNull() & (F.col("n") > 0)
-    keyed = sets.withColumn("k1", F.when(linked, F.col("s1"))).withColumn("k2", F.when(linked, F.col("s2")))
-    out = keyed.join(
-        classes.withColumnsRenamed({"s1": "k1", "s2": "k2"}), ["k1", "k2"], "left"
+    classes = written(classes, "classes")
+    labels = link_labels(documents.texts, classes, size, percent)
+    # the others' rows are their own class and component: only rows of these are exchanged
+    own = classes.join(labels, "id", "left").where("several or label is not null").select(
+        F.col("s1").alias("k1"), F.col("s2").alias("k2"), F.col("id").alias("class_id"), F.coalesce("label", "id").alias("label")
     )
-    return out.select(
+    own = written(own, "linked-classes")
+    discard(classes, labels)
+    bits = bitmap(own.select("k1"), hash_column, 1, own.count())
+    linked = F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.col("s1"))
+    touched = sets.mapInArrow(_in_classes(bits, True), sets.schema).withColumn("k1", linked).withColumn("k2", F.col("s2"))
+    touched = touched.join(own, ["k1", "k2"], "left")
+    rest = sets.mapInArrow(_in_classes(bits, False), sets.schema)
+    rest = rest.withColumns({c: F.lit(None).cast("long") for c in ("class_id", "label")})
+    columns = [*sets.columns, "class_id", "label"]
+    return touched.select(*columns).unionAll(rest.select(*columns)).select(
         carried.whole("row.row").alias("row"),
         F.col("n").alias("n_shingles"),
         F.coalesce("class_id", "row.given").alias("class_id"),
