@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmetrics.llm.common import BLANKS, ascii_lower, new_path, order_id, written
+from shelfmetrics.llm.common import BLANKS, ascii_lower, discard, new_path, order_id, written
 
 MIN_CHARS = 10
 BATCHES = 4
@@ -32,6 +32,7 @@ class LineRuns:
         self.spark, self.fan_in = spark, fan_in
         self.levels: list[list[DataFrame]] = [[]]
         self.hits: list[DataFrame] = []
+        self.tables: list[DataFrame] = []
 
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
@@ -46,6 +47,7 @@ class LineRuns:
             if k + 1 == len(self.levels):
                 self.levels.append([])
             self.levels[k + 1].append(written(merged, "line-run"))
+            self.tables.append(self.levels[k + 1][-1])
 
     def add(self, lines: DataFrame) -> None:
         """Take a batch of lines (h1, h2, id); its ids must exceed those of earlier batches."""
@@ -66,6 +68,8 @@ class LineRuns:
         path = new_path(self.spark, "line-batch")
         met.sortWithinPartitions("fresh", *KEY).write.partitionBy("fresh").parquet(path)
         batch = self.spark.read.schema(met.schema).parquet(path)
+        batch._scratch = path
+        self.tables.append(batch)
         self.levels[0].append(batch.where("fresh").drop("fresh"))
         self.hits.append(batch.where("not fresh").drop("fresh"))
 
@@ -129,6 +133,7 @@ def drop_repeated_lines(
     # read from a table, so that both sides of the join are plain exchanges and adaptive
     # execution can split the partition of a very frequent line
     repeated = written(index.repeated(), "line-repeated")
+    discard(*index.tables)
     dropped = (
         lines.join(repeated, KEY)
         .where(F.col("id") > F.col("holder"))

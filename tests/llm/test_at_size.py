@@ -7,7 +7,7 @@ import pytest
 
 import corpus_pipeline
 from shelfmetrics import scratch
-from shelfmetrics.llm import ngram_join, repeats
+from shelfmetrics.llm import line_dedup, ngram_join, repeats
 
 
 @pytest.fixture
@@ -61,3 +61,20 @@ def test_what_classes_can_share(spark, monkeypatch):
             want.add((i, len(s), m))
     assert {tuple(r) for r in ngram_join.able(texts, classes, 4, 85).collect()} == want
     assert 20 < len(want) < 120
+
+
+def test_texts_are_kept_once_between_stages(spark, tables):
+    docs = [(i, f"the garden behind house {i} was green in spring\nand no line of it comes twice in all of {i}") for i in range(30)]
+    docs += [(i + 100, text) for i, text in docs[:5]]
+    frame = brute.frame(spark, docs).select("doc_id", "text", "lang", "source", "n_chars")
+    rows = corpus_pipeline.keep_one_of_similar(spark, frame, "").collect()
+    assert sorted(r.doc_id for r in rows) == list(range(30))
+    assert [name for name, columns, _ in tables if "row" in columns] == ["sets"]
+
+
+def test_line_runs_go_when_they_are_searched(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "shared_dir", lambda spark: f"file://{tmp_path}")
+    docs = [(i, f"a line of all documents\na line of document {i // 2} and one other") for i in range(40)]
+    done = line_dedup.drop_repeated_lines(brute.frame(spark, docs))
+    assert not [p.name for p in tmp_path.iterdir() if p.name.startswith(("line-batch", "line-run"))]
+    assert sum(r["n_dropped"] for r in done.collect()) == 39 + 20
