@@ -46,7 +46,7 @@ PARTS = 3
 SPARSE = 8
 #: Documents are dealt in groups of about so many shingles, and of so many documents at most (their
 #: places take 16 bits), into buckets of about so many shingles.
-GROUP_SHINGLES, GROUP_DOCS, BUCKET_SHINGLES = 1 << 20, 1 << 16, 2 << 20
+GROUP_SHINGLES, GROUP_DOCS, BUCKET_SHINGLES = 1 << 19, 1 << 16, 1 << 20
 
 
 def shingle_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple]:

@@ -71,6 +71,7 @@ def _boundary_windows(window: int, symbolise):
 def duplicate_spans(texts: DataFrame, window: int = WINDOW) -> list[DataFrame]:
     """(id, low, high) of words in factors and in windows found at factor boundaries."""
     parse = Repeats(texts, word_symbols(symbols.new_key()), window, min(GRAM, window), within=True)
+    discard(parse.met)
     second = word_symbols(symbols.new_key())
     checks = parse.last_pass(_boundary_windows(window, second), "h1 long, h2 long, id long, low long", "boundary-windows")
     firsts = checks.groupBy("h1", "h2").agg(

@@ -7,7 +7,7 @@ import pytest
 
 import corpus_pipeline
 from shelfmetrics import scratch
-from shelfmetrics.llm import line_dedup, ngram_join, repeats
+from shelfmetrics.llm import line_dedup, ngram_join, repeats, suffix_dedup
 
 
 @pytest.fixture
@@ -78,3 +78,32 @@ def test_line_runs_go_when_they_are_searched(spark, tmp_path, monkeypatch):
     done = line_dedup.drop_repeated_lines(brute.frame(spark, docs))
     assert not [p.name for p in tmp_path.iterdir() if p.name.startswith(("line-batch", "line-run"))]
     assert sum(r["n_dropped"] for r in done.collect()) == 39 + 20
+
+
+def test_only_repeated_phrases_are_written(spark, monkeypatch):
+    rows = {}
+
+    def noted(df, name, *more):
+        out = scratch.written(df, name, *more)
+        rows[name] = max(rows.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(repeats, "written", noted)
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 20_000, raising=False)  # several buckets
+    rng = np.random.default_rng(5)
+    docs = own_words(rng, 400, 40)
+    docs += [(1000 + i, f"{own} {docs[i // 4][1][:120]} {own}") for i, own in own_words(rng, 60, 5)]
+    got = {r["row"]["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in suffix_dedup.remove_repeats(brute.frame(spark, docs)).collect()}
+    want = brute.byte_repeats(docs, 50)
+    assert got == {i: v[:3] for i, v in want.items()}
+    written = {name: n for name, n in rows.items() if name != "id-versions"}
+    assert 0 < max(written.values()) < 3000  # some 10,000 phrases
+
+
+def test_full_bitmaps_let_little_through(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "SLOT_BITS", 16)
+    texts = spark.range(8000).selectExpr("id", "id * 3 as low")
+    bits = repeats.bitmap(texts, repeats._place_probes, 1, 8000).value
+    held, other = (repeats.place(ids, ids * 3) for ids in (np.arange(8000), np.arange(8000, 40_000)))
+    assert repeats.in_all(bits, held).all() and repeats.in_all(bits, other).mean() < 0.05
+    assert repeats.in_bitmap(bits, other).mean() > 0.2
